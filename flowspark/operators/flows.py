@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowspark.functions import cuts
-from flowspark.session import materialize, ship_package
+from flowspark.session import materialize
 
 KEY = ["capture_id", "lo_ip", "lo_port", "hi_ip", "hi_port", "protocol"]
 KEY_DDL = "capture_id string, lo_ip string, lo_port int, hi_ip string, hi_port int, protocol int"
@@ -86,7 +86,7 @@ def decode_flags(packets: DataFrame) -> DataFrame:
     )
 
 
-def with_key(packets: DataFrame) -> DataFrame:
+def with_key(packets: DataFrame, extra: list[str] = ()) -> DataFrame:
     """Both directions of a connection under one key; `dir` 0 is from the low to the high endpoint."""
     src_low = (F.col("src_ip") < F.col("dst_ip")) | (
         (F.col("src_ip") == F.col("dst_ip")) & (F.col("src_port") <= F.col("dst_port"))
@@ -100,6 +100,7 @@ def with_key(packets: DataFrame) -> DataFrame:
         "protocol", "pkt_no", "ts_us",
         F.when(src_low, F.lit(0)).otherwise(F.lit(1)).alias("dir"),
         *[F.col(c).cast("int").alias(c) for c in ("payload_len", "header_len", "flags", "win")],
+        *extra,
     )
 
 
@@ -394,7 +395,6 @@ class MarkedPackets:
 
 
 def mark_flows(packets: DataFrame, cfg: FlowConfig = FlowConfig()) -> MarkedPackets:
-    ship_package(packets.sparkSession)
     keyed = with_key(packets)
     # A connection can only be oversized if the table is; the count reads no columns.
     total = packets.count()

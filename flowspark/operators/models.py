@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from flowspark.functions.schema import FEATURES
 from flowspark.operators import isolation, metrics, sampling, score
 from flowspark.operators.normalize import feature_matrix
+from flowspark.session import materialize
 
 
 @dataclass(frozen=True)
@@ -215,6 +216,7 @@ def train(df: DataFrame, features: list[str], target: str, category: str, row_id
 
     Returns the detector and the rows with their split, features scaled.
     """
+    df = materialize(df.select(row_id, target, category, *by, *[F.col(f"`{c}`") for c in features]), "training")
     split = sampling.stratified_split(df, [*by, target], cfg.test, cfg.val, cfg.seed, row_id)
     scaler = fit_scaler(split.where("split = 'train'"), features)
     rows = split.select(row_id, target, category, "split", *by, scaled_vector(scaler).alias("features")).persist()

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,18 +44,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers, once per application."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    package = Path(__file__).parent
-    folder = tempfile.mkdtemp(prefix="flowspark-py-")
-    archive = shutil.make_archive(f"{folder}/flowspark", "zip", package.parent, package.name)
-    spark.sparkContext.addPyFile(archive)
-    _shipped.add(app)
