@@ -19,17 +19,18 @@ def scan_csv(spark: SparkSession, path: str, encoding: str = "utf-8", glob: str
 
 def is_utf8(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
     """Per file whether its lines are valid UTF-8, to choose between utf-8 and latin-1."""
-    lines = spark.read.option("pathGlobFilter", glob).option("encoding", "iso-8859-1").text(path)
-    # Read as latin-1 every byte is one character, so the bytes come back unchanged.
-    raw = F.encode("value", "iso-8859-1")
+    lines = spark.read.option("pathGlobFilter", glob).text(path)  # bytes as they are
     return lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.bool_and(F.is_valid_utf8(raw.cast("string"))).alias("utf8")
+        F.bool_and(F.is_valid_utf8("value")).alias("utf8")
     )
 
 
 def scan_csv_any(spark: SparkSession, path: str, glob: str = "*.csv", columns: list[str] | None = None) -> DataFrame:
-    """CSV files of mixed encodings: utf-8 where valid, latin-1 otherwise."""
-    kinds = is_utf8(spark, path, glob).collect()  # one row per file
+    """CSV files of mixed encodings: utf-8 where valid, latin-1 otherwise.
+
+    Only file names come to the driver, which lists them for any scan.
+    """
+    kinds = is_utf8(spark, path, glob).collect()
     parts = []
     for encoding, want in (("utf-8", True), ("iso-8859-1", False)):
         files = [r["file"] for r in kinds if r["utf8"] == want]
