@@ -58,6 +58,13 @@ def walk(nxt: np.ndarray, first: int) -> np.ndarray:
     return np.array(starts, dtype=np.int64)
 
 
+def late_starts(ts, fin, hard, active_us) -> np.ndarray:
+    """Positions of flow starts that only the active timeout explains."""
+    given = next_starts(ts, fin, hard, None)
+    starts = walk(np.minimum(given, first_above(ts, ts + active_us)), 0)
+    return starts[1:][starts[1:] < given[starts[:-1]]]
+
+
 def first_cut(ts, fin, hard, active_us, start_ts: int, fins_seen: int) -> int:
     """Position of the first packet that does not belong to the flow open on entry."""
     n = len(ts)

@@ -151,19 +151,12 @@ def _aggregate(marked, cfg: FlowConfig, blocks: list[str], bursts: bool) -> Data
     aggs = {k: v for b in ["counts", *blocks] for k, v in BLOCKS[b]().items()}
     named = [v.alias(k) for k, v in aggs.items()]
     burst_named = [v.alias(k) for k, v in burst_stats().items()] if bursts else []
-    parts = []
-    for branch in marked.ordinary:
-        rows = _with_bursts(branch, cfg.burst_us) if bursts else branch
-        parts.append(rows.groupBy(*FLOW).agg(*named, *burst_named))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    out = out.withColumn(
-        "flow_seq", F.row_number().over(Window.partitionBy(*KEY).orderBy("flow_start")).cast("bigint") - 1
-    )
+    named.append(F.first("flow_seq").alias("flow_seq"))
+    rows = _with_bursts(marked.ordinary, cfg.burst_us) if bursts else marked.ordinary
+    out = rows.groupBy(*FLOW).agg(*named, *burst_named)
     if marked.oversized is not None:
         rows = materialize(marked.oversized, "marked")
-        big = rows.groupBy(*FLOW).agg(*named, F.first("flow_seq").alias("flow_seq"))
+        big = rows.groupBy(*FLOW).agg(*named)
         if bursts:
             big = big.join(burst_rows(rows, cfg.burst_us).groupBy(*FLOW).agg(*burst_named), FLOW)
         out = out.unionByName(big)
@@ -243,16 +236,13 @@ def flow_features(packets: DataFrame, cfg: FlowConfig = FlowConfig()) -> DataFra
 def active_idle_periods(packets: DataFrame, cfg: FlowConfig = FlowConfig()) -> DataFrame:
     """One row per burst of positive length ('active') and per pause ('idle') of each flow."""
     marked = mark_flows(packets, cfg)
-    rows = marked.ordinary + ([marked.oversized.drop("flow_seq")] if marked.oversized is not None else [])
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
+    rows = marked.ordinary if marked.oversized is None else marked.ordinary.unionByName(marked.oversized)
     kinds = F.array(
         F.struct(F.lit("active").alias("kind"), F.col("active_us").alias("us")),
         F.struct(F.lit("idle").alias("kind"), F.col("idle_us").alias("us")),
     )
     return (
-        burst_rows(out, cfg.burst_us)
+        burst_rows(rows, cfg.burst_us)
         .select("capture_id", "flow_start", F.inline(kinds))
         .where(F.col("us").isNotNull())
     )

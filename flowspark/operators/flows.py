@@ -46,7 +46,6 @@ class FlowConfig:
     heavy_packets: int = 1 << 20
     block_packets: int = 1 << 20
     fan_in: int = 64
-    fold_rows: int = 1 << 16
 
     def only(self, **rules) -> FlowConfig:
         """Same timeouts with just the named rules on."""
@@ -124,53 +123,102 @@ def _bit(flags: Column, bit: int) -> Column:
     return flags.bitwiseAND(bit) > 0
 
 
-def _segments(keyed: DataFrame, cfg: FlowConfig) -> DataFrame:
-    """Boundaries that hold whatever the state: first packet, idle gap, packet after RST."""
-    w = Window.partitionBy(*KEY).orderBy("pkt_no")
-    prev_ts, prev_flags = F.lag("ts_us").over(w), F.lag("flags").over(w)
-    df = keyed.withColumns({"prev_ts": prev_ts, "prev_flags": prev_flags})
-    hard = F.col("prev_ts").isNull() | (F.col("ts_us") - F.col("prev_ts") > _gap_limit(cfg))
+def _boundaries(rows: DataFrame, cfg: FlowConfig) -> DataFrame:
+    """Boundaries that hold whatever the state: first packet, idle gap, packet after RST, known cut.
+
+    `rows` may hold rows with only a key, a packet number and `is_cut` 1: they stand before the
+    packet of that number and say that it opens a flow.
+    """
+    w = Window.partitionBy(*KEY).orderBy("pkt_no", F.desc("is_cut"))
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    df = rows.withColumns({
+        "prev_ts": F.last("ts_us", ignorenulls=True).over(before),
+        "prev_flags": F.last("flags", ignorenulls=True).over(before),
+        "told": F.lag("is_cut", 1, 0).over(w) == 1,
+    })
+    hard = F.col("prev_ts").isNull() | (F.col("ts_us") - F.col("prev_ts") > _gap_limit(cfg)) | F.col("told")
     if cfg.use_rst:
         hard = hard | _bit(F.col("prev_flags"), RST)
-    df = df.withColumn("hard", hard)
-    return df.withColumn("seg", F.max(F.when(F.col("hard"), F.col("pkt_no"))).over(w))
+    return df.withColumn("hard", (F.col("is_cut") == 0) & hard)
 
 
-def _mark_native(segments: DataFrame, cfg: FlowConfig) -> DataFrame:
-    """Flow marks where the active timeout cannot fire: every second FIN closes a flow."""
-    w = Window.partitionBy(*KEY, "seg").orderBy("pkt_no")
+def _mark(rows: DataFrame, cfg: FlowConfig) -> DataFrame:
+    """Flow marks by window functions in one sort order; within boundaries every second FIN closes a flow."""
+    w = Window.partitionBy(*KEY).orderBy("pkt_no", F.desc("is_cut"))
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    df = _boundaries(rows, cfg)
     cut = F.col("hard")
     if cfg.use_fin:
         fins = F.coalesce(F.sum(F.when(_bit(F.col("flags"), FIN), 1).otherwise(0)).over(before), F.lit(0))
-        cut = cut | (_bit(F.col("prev_flags"), FIN) & (fins % 2 == 0))
-    df = segments.withColumn("cut", cut)
+        df = df.withColumn("fins", fins)
+        # The count only grows, so its largest value at a boundary is that of the latest boundary.
+        since = F.col("fins") - F.max(F.when(F.col("hard"), F.col("fins"))).over(upto)
+        df = df.withColumn("since", since)
+        cut = cut | (_bit(F.col("prev_flags"), FIN) & (F.col("since") % 2 == 0))
+    df = df.withColumn("cut", (F.col("is_cut") == 0) & cut)
     df = df.withColumns({
         "flow_start": F.max(F.when(F.col("cut"), F.col("pkt_no"))).over(upto),
         "start_dir": F.last(F.when(F.col("cut"), F.col("dir")), ignorenulls=True).over(upto),
+        "flow_seq": F.sum(F.col("cut").cast("bigint")).over(upto) - 1,
         **{f"p{d}_{c}": F.last(F.when(F.col("dir") == d, F.col(c)), ignorenulls=True).over(before)
            for d in (0, 1) for c in ("pkt_no", "ts_us")},
     })
     same_pkt = F.when(F.col("dir") == 0, F.col("p0_pkt_no")).otherwise(F.col("p1_pkt_no"))
     same_ts = F.when(F.col("dir") == 0, F.col("p0_ts_us")).otherwise(F.col("p1_ts_us"))
-    return df.select(
+    return df.where("is_cut = 0").select(
         *KEY, *BODY, "flow_start", "start_dir",
         F.when(~F.col("cut"), F.col("ts_us") - F.col("prev_ts")).alias("gap_us"),
-        F.when(same_pkt >= F.col("flow_start"), F.col("ts_us") - same_ts).alias("dir_gap_us"),
+        F.when(same_pkt >= F.col("flow_start"), F.col("ts_us") - same_ts).alias("dir_gap_us"), "flow_seq",
     )
 
 
-def _mark_rows(pdf: pd.DataFrame, starts: np.ndarray, carry: dict | None = None,
-               fresh: np.ndarray | None = None) -> pd.DataFrame:
-    """Flow marks of packets in order, given the positions of flow starts.
+def _late_starts(active_us: int):
+    def late(pkt: pd.Series, ts: pd.Series, fin: pd.Series) -> pd.Series:
+        sizes = pkt.map(len).to_numpy()
+        edges = np.cumsum(sizes) - sizes
+        p, t, f = (np.concatenate(c.to_list()) for c in (pkt, ts, fin))
+        opens = np.zeros(len(t), dtype=bool)
+        opens[edges] = True
+        at = cuts.late_starts(t, f > 0, opens, active_us)
+        return pd.Series(np.split(p[at], np.searchsorted(at, edges[1:])))
+
+    return F.pandas_udf(late, "array<bigint>")
+
 
-    `carry` is what came before the first packet; `fresh` flags packets that open a stretch, when
-    the rows are several unrelated stretches.
+def active_cuts(keyed: DataFrame, cfg: FlowConfig) -> DataFrame:
+    """(key, pkt_no) of packets that open a flow because of the active timeout.
+
+    This rule depends on where the flow began, so stretches between boundaries that outlast the
+    timeout, and only they, are folded: one array row each, many rows to an array operation. The
+    rest of the packets never leave the JVM.
     """
+    thin = keyed.select(*KEY, "pkt_no", "ts_us", "flags", F.lit(0).alias("is_cut"))
+    w = Window.partitionBy(*KEY).orderBy("pkt_no", F.desc("is_cut"))
+    stretches = _boundaries(thin, cfg).withColumn("seg", F.max(F.when(F.col("hard"), F.col("pkt_no"))).over(w))
+    whole = Window.partitionBy(*KEY, "seg")
+    long = stretches.withColumn("span", F.max("ts_us").over(whole) - F.min("ts_us").over(whole)).where(
+        F.col("span") > cfg.active_us)
+    fin = _bit(F.col("flags"), FIN).cast("int") if cfg.use_fin else F.lit(0)
+    rows = F.array_sort(F.collect_list(F.struct("pkt_no", "ts_us", fin.alias("fin"))))
+    lists = long.groupBy(*KEY, "seg").agg(rows.alias("rows"))
+    starts = _late_starts(cfg.active_us)(F.col("rows.pkt_no"), F.col("rows.ts_us"), F.col("rows.fin"))
+    return lists.select(*KEY, F.explode(starts).alias("pkt_no"))
+
+
+def _ordinary(keyed: DataFrame, cfg: FlowConfig) -> DataFrame:
+    """Marked packets of connections of at most `heavy_packets` packets."""
+    rows = keyed.withColumn("is_cut", F.lit(0))
+    if cfg.active_us is not None:
+        told = active_cuts(keyed, cfg).withColumn("is_cut", F.lit(1))
+        rows = rows.unionByName(told, allowMissingColumns=True)
+    return _mark(rows, cfg)
+
+
+def _mark_rows(pdf: pd.DataFrame, starts: np.ndarray, entry: dict) -> pd.DataFrame:
+    """Flow marks of one block's packets given its flow starts; `entry` is what came before the block."""
     n = len(pdf)
     pkt, ts, d = (pdf[c].to_numpy() for c in ("pkt_no", "ts_us", "dir"))
-    entry = carry or {"pkt": -1, "dir": 0, "prev_ts": None, "last": {0: None, 1: None}}
     which = np.searchsorted(starts, np.arange(n), side="right")
     flow_start = np.append(entry["pkt"], pkt[starts])[which]
     start_dir = np.append(entry["dir"], d[starts])[which]
@@ -192,9 +240,6 @@ def _mark_rows(pdf: pd.DataFrame, starts: np.ndarray, carry: dict | None = None,
         prev_pkts = np.append(prev_pkt, pkt[at[:-1]])
         dir_gap[at] = ts[at] - np.append(prev_ts, ts[at[:-1]])
         has_dir_gap[at] = (prev_pkts >= 0) & (prev_pkts >= flow_start[at])
-        if fresh is not None:  # numbers of different stretches do not compare
-            stretch = np.cumsum(fresh)[at]
-            has_dir_gap[at] &= np.append(-1, stretch[:-1]) == stretch
     out = pdf[KEY + BODY].copy()
     out["flow_start"], out["start_dir"] = flow_start, start_dir
     out["gap_us"] = pd.array(gap, dtype="Int64")
@@ -204,40 +249,6 @@ def _mark_rows(pdf: pd.DataFrame, starts: np.ndarray, carry: dict | None = None,
     return out
 
 
-def _fold(cfg: FlowConfig):
-    use_fin, active = cfg.use_fin, cfg.active_us
-
-    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([*KEY, "pkt_no"], ignore_index=True)
-        opens = pdf["seg"].to_numpy() == pdf["pkt_no"].to_numpy()
-        fin = ((pdf["flags"].to_numpy() & FIN) > 0) & use_fin
-        nxt = cuts.next_starts(pdf["ts_us"].to_numpy(), fin, opens, active)
-        return _mark_rows(pdf, cuts.walk(nxt, 0), fresh=opens)
-
-    return mark
-
-
-def _ordinary(keyed: DataFrame, cfg: FlowConfig, packets: int) -> list[DataFrame]:
-    """Marked packets of connections of at most `heavy_packets` packets."""
-    segments = _segments(keyed, cfg)
-    if cfg.active_us is None:
-        return [_mark_native(segments, cfg)]
-    whole = (Window.partitionBy(*KEY, "seg").orderBy("pkt_no")
-             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    spanned = segments.withColumn("span", F.max("ts_us").over(whole) - F.min("ts_us").over(whole))
-    short = _mark_native(spanned.where(F.col("span") <= cfg.active_us), cfg)
-    # Many connections share a group, so that the fold is one array operation over about
-    # `fold_rows` rows.
-    groups = max(1, -(-packets // cfg.fold_rows))
-    long = (
-        spanned.where(F.col("span") > cfg.active_us)
-        .select(*KEY, *BODY, "seg")
-        .groupBy(F.pmod(F.xxhash64(*KEY), F.lit(groups)).alias("fold_group"))
-        .applyInPandas(_fold(cfg), f"{KEY_DDL}, {BODY_DDL}, {MARKS_DDL}")
-    )
-    return [short, long]
-
-
 # ---- connections too large for one task -------------------------------------------------------
 
 _TABLE_DDL = ", ".join(
@@ -388,41 +399,30 @@ def _oversized(keyed: DataFrame, cfg: FlowConfig) -> DataFrame:
 
 @dataclass(frozen=True)
 class MarkedPackets:
-    """Packets with their flow: `ordinary` branches lack flow_seq, `oversized` has it."""
+    """Packets with their flow, by size of their connection."""
 
-    ordinary: list[DataFrame]
+    ordinary: DataFrame
     oversized: DataFrame | None
 
 
 def mark_flows(packets: DataFrame, cfg: FlowConfig = FlowConfig()) -> MarkedPackets:
     keyed = with_key(packets)
     # A connection can only be oversized if the table is; the count reads no columns.
-    total = packets.count()
-    if total <= cfg.heavy_packets:
-        return MarkedPackets(_ordinary(keyed, cfg, total), None)
+    if packets.count() <= cfg.heavy_packets:
+        return MarkedPackets(_ordinary(keyed, cfg), None)
     heavy = materialize(
         keyed.groupBy(*KEY).count().where(F.col("count") > cfg.heavy_packets).select(*KEY), "heavy"
     )
     if heavy.isEmpty():
-        return MarkedPackets(_ordinary(keyed, cfg, total), None)
-    ordinary = _ordinary(keyed.join(heavy, KEY, "left_anti"), cfg, total)
-    return MarkedPackets(ordinary, _oversized(keyed.join(heavy, KEY, "left_semi"), cfg))
-
-
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        return MarkedPackets(_ordinary(keyed, cfg), None)
+    return MarkedPackets(
+        _ordinary(keyed.join(heavy, KEY, "left_anti"), cfg), _oversized(keyed.join(heavy, KEY, "left_semi"), cfg)
+    )
 
 
 def assign_flows(packets: DataFrame, cfg: FlowConfig = FlowConfig()) -> DataFrame:
     """Packets with key, `flow_start` (number of the flow's first packet), `flow_seq`, `is_fwd`,
     `gap_us` (to the previous packet of the flow) and `dir_gap_us` (same direction)."""
     marked = mark_flows(packets, cfg)
-    w = Window.partitionBy(*KEY).orderBy("pkt_no")
-    opens = (F.col("pkt_no") == F.col("flow_start")).cast("bigint")
-    out = _union(marked.ordinary).withColumn("flow_seq", F.sum(opens).over(w) - 1)
-    if marked.oversized is not None:
-        out = out.unionByName(marked.oversized)
+    out = marked.ordinary if marked.oversized is None else marked.ordinary.unionByName(marked.oversized)
     return out.withColumn("is_fwd", F.col("dir") == F.col("start_dir"))
