@@ -25,9 +25,6 @@ from flowspark.session import materialize
 KEY = ["capture_id", "lo_ip", "lo_port", "hi_ip", "hi_port", "protocol"]
 KEY_DDL = "capture_id string, lo_ip string, lo_port int, hi_ip string, hi_port int, protocol int"
 BODY = ["pkt_no", "ts_us", "dir", "payload_len", "header_len", "flags", "win"]
-BODY_DDL = "pkt_no bigint, ts_us bigint, dir int, payload_len int, header_len int, flags int, win int"
-MARKS = ["flow_start", "start_dir", "gap_us", "dir_gap_us"]
-MARKS_DDL = "flow_start bigint, start_dir int, gap_us bigint, dir_gap_us bigint"
 
 FIN, SYN, RST, PSH, ACK, URG = 1, 2, 4, 8, 16, 32
 TCP, UDP = 6, 17
@@ -123,17 +120,26 @@ def _bit(flags: Column, bit: int) -> Column:
     return flags.bitwiseAND(bit) > 0
 
 
-def _boundaries(rows: DataFrame, cfg: FlowConfig) -> DataFrame:
+def _order(by: list[str]):
+    """Packets in order; a told cut stands before its packet. Frames: before the row, up to the row."""
+    w = Window.partitionBy(*by).orderBy("pkt_no", F.desc("is_cut"))
+    return (w, w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0))
+
+
+def _carried(value: Column, carry: str | None) -> Column:
+    return value if carry is None else F.coalesce(value, F.col(carry))
+
+
+def _boundaries(rows: DataFrame, cfg: FlowConfig, by: list[str], carry: bool = False) -> DataFrame:
     """Boundaries that hold whatever the state: first packet, idle gap, packet after RST, known cut.
 
-    `rows` may hold rows with only a key, a packet number and `is_cut` 1: they stand before the
-    packet of that number and say that it opens a flow.
+    `rows` may hold rows with only a key, a packet number and `is_cut` 1, which say that the packet
+    of that number opens a flow. With `carry`, rows bring what came before their block.
     """
-    w = Window.partitionBy(*KEY).orderBy("pkt_no", F.desc("is_cut"))
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    w, before, _ = _order(by)
     df = rows.withColumns({
-        "prev_ts": F.last("ts_us", ignorenulls=True).over(before),
-        "prev_flags": F.last("flags", ignorenulls=True).over(before),
+        "prev_ts": _carried(F.last("ts_us", ignorenulls=True).over(before), "c_prev_ts" if carry else None),
+        "prev_flags": _carried(F.last("flags", ignorenulls=True).over(before), "c_prev_flags" if carry else None),
         "told": F.lag("is_cut", 1, 0).over(w) == 1,
     })
     hard = F.col("prev_ts").isNull() | (F.col("ts_us") - F.col("prev_ts") > _gap_limit(cfg)) | F.col("told")
@@ -142,26 +148,28 @@ def _boundaries(rows: DataFrame, cfg: FlowConfig) -> DataFrame:
     return df.withColumn("hard", (F.col("is_cut") == 0) & hard)
 
 
-def _mark(rows: DataFrame, cfg: FlowConfig) -> DataFrame:
+def _mark(rows: DataFrame, cfg: FlowConfig, by: list[str] = KEY, carry: bool = False) -> DataFrame:
     """Flow marks by window functions in one sort order; within boundaries every second FIN closes a flow."""
-    w = Window.partitionBy(*KEY).orderBy("pkt_no", F.desc("is_cut"))
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    df = _boundaries(rows, cfg)
+    _, before, upto = _order(by)
+    df = _boundaries(rows, cfg, by, carry)
     cut = F.col("hard")
     if cfg.use_fin:
         fins = F.coalesce(F.sum(F.when(_bit(F.col("flags"), FIN), 1).otherwise(0)).over(before), F.lit(0))
         df = df.withColumn("fins", fins)
         # The count only grows, so its largest value at a boundary is that of the latest boundary.
-        since = F.col("fins") - F.max(F.when(F.col("hard"), F.col("fins"))).over(upto)
-        df = df.withColumn("since", since)
+        at_boundary = F.max(F.when(F.col("hard"), F.col("fins"))).over(upto)
+        base = F.coalesce(at_boundary, -F.col("c_fins")) if carry else at_boundary
+        df = df.withColumn("since", F.col("fins") - base)
         cut = cut | (_bit(F.col("prev_flags"), FIN) & (F.col("since") % 2 == 0))
     df = df.withColumn("cut", (F.col("is_cut") == 0) & cut)
+    started = F.sum(F.col("cut").cast("bigint")).over(upto)
     df = df.withColumns({
-        "flow_start": F.max(F.when(F.col("cut"), F.col("pkt_no"))).over(upto),
-        "start_dir": F.last(F.when(F.col("cut"), F.col("dir")), ignorenulls=True).over(upto),
-        "flow_seq": F.sum(F.col("cut").cast("bigint")).over(upto) - 1,
-        **{f"p{d}_{c}": F.last(F.when(F.col("dir") == d, F.col(c)), ignorenulls=True).over(before)
+        "flow_start": _carried(F.max(F.when(F.col("cut"), F.col("pkt_no"))).over(upto), "c_pkt" if carry else None),
+        "start_dir": _carried(
+            F.last(F.when(F.col("cut"), F.col("dir")), ignorenulls=True).over(upto), "c_dir" if carry else None).cast("int"),
+        "flow_seq": (started + F.col("c_flows") if carry else started) - 1,
+        **{f"p{d}_{c}": _carried(F.last(F.when(F.col("dir") == d, F.col(c)), ignorenulls=True).over(before),
+                                 f"c_last{d}_{c}" if carry else None)
            for d in (0, 1) for c in ("pkt_no", "ts_us")},
     })
     same_pkt = F.when(F.col("dir") == 0, F.col("p0_pkt_no")).otherwise(F.col("p1_pkt_no"))
@@ -194,8 +202,8 @@ def active_cuts(keyed: DataFrame, cfg: FlowConfig) -> DataFrame:
     rest of the packets never leave the JVM.
     """
     thin = keyed.select(*KEY, "pkt_no", "ts_us", "flags", F.lit(0).alias("is_cut"))
-    w = Window.partitionBy(*KEY).orderBy("pkt_no", F.desc("is_cut"))
-    stretches = _boundaries(thin, cfg).withColumn("seg", F.max(F.when(F.col("hard"), F.col("pkt_no"))).over(w))
+    seg = F.max(F.when(F.col("hard"), F.col("pkt_no"))).over(_order(KEY)[2])
+    stretches = _boundaries(thin, cfg, KEY).withColumn("seg", seg)
     whole = Window.partitionBy(*KEY, "seg")
     long = stretches.withColumn("span", F.max("ts_us").over(whole) - F.min("ts_us").over(whole)).where(
         F.col("span") > cfg.active_us)
@@ -215,186 +223,152 @@ def _ordinary(keyed: DataFrame, cfg: FlowConfig) -> DataFrame:
     return _mark(rows, cfg)
 
 
-def _mark_rows(pdf: pd.DataFrame, starts: np.ndarray, entry: dict) -> pd.DataFrame:
-    """Flow marks of one block's packets given its flow starts; `entry` is what came before the block."""
-    n = len(pdf)
-    pkt, ts, d = (pdf[c].to_numpy() for c in ("pkt_no", "ts_us", "dir"))
-    which = np.searchsorted(starts, np.arange(n), side="right")
-    flow_start = np.append(entry["pkt"], pkt[starts])[which]
-    start_dir = np.append(entry["dir"], d[starts])[which]
-    gap = np.zeros(n, dtype=np.int64)
-    gap[1:] = ts[1:] - ts[:-1]
-    has_gap = np.ones(n, dtype=bool)
-    has_gap[starts] = False
-    if entry["prev_ts"] is None:
-        has_gap[0] = False
-    else:
-        gap[0] = ts[0] - entry["prev_ts"]
-    dir_gap = np.zeros(n, dtype=np.int64)
-    has_dir_gap = np.zeros(n, dtype=bool)
-    for side in (0, 1):
-        at = np.flatnonzero(d == side)
-        if not len(at):
-            continue
-        prev_pkt, prev_ts = entry["last"][side] or (-1, 0)
-        prev_pkts = np.append(prev_pkt, pkt[at[:-1]])
-        dir_gap[at] = ts[at] - np.append(prev_ts, ts[at[:-1]])
-        has_dir_gap[at] = (prev_pkts >= 0) & (prev_pkts >= flow_start[at])
-    out = pdf[KEY + BODY].copy()
-    out["flow_start"], out["start_dir"] = flow_start, start_dir
-    out["gap_us"] = pd.array(gap, dtype="Int64")
-    out.loc[~has_gap, "gap_us"] = pd.NA
-    out["dir_gap_us"] = pd.array(dir_gap, dtype="Int64")
-    out.loc[~has_dir_gap, "dir_gap_us"] = pd.NA
-    return out
-
-
 # ---- connections too large for one task -------------------------------------------------------
 
-_TABLE_DDL = ", ".join(
-    f"s{s}_{c} array<bigint>" for s in (0, 1, 2) for c in ("thr", "pkt", "ts", "dir", "fins", "flows")
-)
-_PARTS = ("thr", "pkt", "ts", "dir", "fins", "flows")
+_BLOCK = [*KEY, "blk"]
+_STEPS = "array<array<bigint>>"  # a block's tables, see functions/cuts.py
+_UNOPENED = (-1, 0, 0, cuts.CLOSED, 0)
 
 
-def _pack(table: dict) -> dict:
-    return {f"s{s}_{c}": a.astype(np.int64) for s, arrays in table.items() for c, a in zip(_PARTS, arrays)}
+def _pack(table: dict) -> list[np.ndarray]:
+    return [a.astype(np.int64) for s in (0, 1, 2) for a in table[s]]
 
 
-def _unpack(row) -> dict:
-    return {s: tuple(np.asarray(row[f"s{s}_{c}"], dtype=np.int64) for c in _PARTS) for s in (0, 1, 2)}
+def _unpack(steps) -> dict:
+    arrays = [np.asarray(a, dtype=np.int64) for a in steps]
+    return {s: tuple(arrays[6 * s:6 * s + 6]) for s in (0, 1, 2)}
 
 
-def _block_carry(hot: DataFrame) -> DataFrame:
-    """Per block what the packets before it left behind; one small row per connection and block."""
+def _block_rows(hot: DataFrame) -> DataFrame:
+    """One row per connection and block: its packets, reduced to what ends a flow, and its tail."""
+    packets = F.array_sort(F.collect_list(F.struct("pkt_no", "ts_us", "dir", "flags")))
     last_of = [F.max(F.when(F.col("dir") == d, F.struct("pkt_no", "ts_us"))).alias(f"last{d}") for d in (0, 1)]
-    blocks = hot.groupBy(*KEY, "blk").agg(
-        F.max_by(F.struct("ts_us", "flags"), "pkt_no").alias("tail"), F.max("ts_us").alias("max_ts"), *last_of
+    return hot.groupBy(*_BLOCK).agg(
+        packets.alias("rows"), F.max_by(F.struct("ts_us", "flags"), "pkt_no").alias("tail"), F.max("ts_us").alias("max_ts"),
+        *last_of,
     )
+
+
+def _block_carry(blocks: DataFrame) -> DataFrame:
+    """What the packets before each block left behind."""
     w = Window.partitionBy(*KEY).orderBy("blk")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     last = {d: F.last(f"last{d}", ignorenulls=True).over(before) for d in (0, 1)}
     return blocks.select(
-        *KEY, "blk",
-        F.lag("tail.ts_us").over(w).alias("prev_ts"),
-        F.lag("tail.flags").over(w).alias("prev_flags"),
+        *_BLOCK, F.lag("tail.ts_us").over(w).alias("c_prev_ts"), F.lag("tail.flags").over(w).alias("c_prev_flags"),
         F.max("max_ts").over(before).alias("max_before"),
-        *[last[d][c].alias(f"last{d}_{n}") for d in (0, 1) for c, n in (("pkt_no", "pkt"), ("ts_us", "ts"))],
+        *[last[d][c].alias(f"c_last{d}_{c}") for d in (0, 1) for c in ("pkt_no", "ts_us")],
     )
 
 
-def _run_arrays(pdf: pd.DataFrame, carry, cfg: FlowConfig):
-    ts, flags = pdf["ts_us"].to_numpy(), pdf["flags"].to_numpy()
-    udp = int(pdf["protocol"].iloc[0]) == UDP
-    limit = cfg.udp_us if udp else cfg.idle_us
-    prev_ts = carry["prev_ts"]
-    if pd.isna(prev_ts):
-        gaps, before = np.append(0, np.diff(ts)), np.append(0, flags[:-1])
-    else:
-        gaps, before = np.diff(ts, prepend=int(prev_ts)), np.append(int(carry["prev_flags"]), flags[:-1])
-    hard = np.zeros(len(ts), dtype=bool) if limit is None else gaps > limit
+def _run(ts, flags, carry, cfg: FlowConfig):
+    """Times, FINs and hard boundaries of a block; carry: has a predecessor, its time and flags, idle limit."""
+    known, prev_ts, prev_flags, limit = (int(c) for c in carry[:4])
+    gaps = np.diff(ts, prepend=prev_ts if known else ts[0])
+    hard = gaps > limit
     if cfg.use_rst:
-        hard |= (before & RST) > 0
-    hard[0] |= pd.isna(prev_ts)
-    fin = ((flags & FIN) > 0) & cfg.use_fin
-    return ts, fin, hard
-
-
-def _block_table(cfg: FlowConfig):
-    def reduce_block(pdf: pd.DataFrame, carry_rows: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pkt_no", ignore_index=True)
-        carry = carry_rows.iloc[0]
-        ts, fin, hard = _run_arrays(pdf, carry, cfg)
-        most = carry["max_before"]
-        most = np.iinfo(np.int64).min if pd.isna(most) else int(most)
-        table = cuts.run_table(pdf["pkt_no"].to_numpy(), ts, pdf["dir"].to_numpy(), fin, hard, cfg.active_us, most)
-        row = {**{k: pdf[k].iloc[0] for k in KEY}, "blk": carry["blk"], "max_before": most, **_pack(table)}
-        return pd.DataFrame([row])
-
-    return reduce_block
-
-
-def _chain_tables(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("blk", ignore_index=True)
-    most = int(pdf["max_before"].iloc[0])
-    table = None
-    for _, row in pdf.iterrows():
-        step = _unpack(row)
-        table = step if table is None else cuts.chain(table, step, most)
-    row = {**dict(zip([*KEY, "blk"], key)), "max_before": most, **_pack(table)}
-    return pd.DataFrame([row])
-
-
-_STATE_DDL = "e_pkt bigint, e_ts bigint, e_dir int, e_fins int, e_flows bigint"
-_STATE = ["e_pkt", "e_ts", "e_dir", "e_fins", "e_flows"]
-_UNOPENED = (-1, 0, 0, cuts.CLOSED, 0)
+        hard |= (np.append(prev_flags, flags[:-1]) & RST) > 0
+    hard[0] |= not known
+    return ts, ((flags & FIN) > 0) & cfg.use_fin, hard
 
 
-def _enter(tables: pd.DataFrame, state: tuple) -> pd.DataFrame:
-    """Entry state of each run in turn, starting from the state before the first."""
-    rows = []
-    for _, row in tables.sort_values("blk").iterrows():
-        rows.append({**{k: row[k] for k in KEY}, "blk": row["blk"], **dict(zip(_STATE, state))})
-        state = cuts.apply_table(_unpack(row), state)
-    return pd.DataFrame(rows, columns=[*KEY, "blk", *_STATE])
+def _carry_array(cfg: FlowConfig) -> Column:
+    zero = F.lit(0).cast("bigint")
+    return F.array(
+        F.col("c_prev_ts").isNotNull().cast("bigint"), F.coalesce("c_prev_ts", zero),
+        F.coalesce(F.col("c_prev_flags").cast("bigint"), zero), _gap_limit(cfg).cast("bigint"),
+        F.coalesce("max_before", F.lit(np.iinfo(np.int64).min)),
+    )
 
 
-def _enter_top(pdf: pd.DataFrame) -> pd.DataFrame:
-    return _enter(pdf, _UNOPENED)
+def _tables(cfg: FlowConfig):
+    def reduce_blocks(pkt: pd.Series, ts: pd.Series, d: pd.Series, flags: pd.Series, carry: pd.Series) -> pd.Series:
+        out = []
+        for p, t, x, f, c in zip(pkt, ts, d, flags, carry):
+            t, fin, hard = _run(t, f, c, cfg)
+            out.append(_pack(cuts.run_table(p, t, x, fin, hard, cfg.active_us, int(c[4]))))
+        return pd.Series(out)
 
+    return F.pandas_udf(reduce_blocks, _STEPS)
 
-def _enter_below(tables: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-    return _enter(tables, tuple(int(state[c].iloc[0]) for c in _STATE))
 
+def _late_in_block(cfg: FlowConfig):
+    def late(pkt: pd.Series, ts: pd.Series, flags: pd.Series, carry: pd.Series, state: pd.Series) -> pd.Series:
+        out = []
+        for p, t, f, c, s in zip(pkt, ts, flags, carry, state):
+            t, fin, hard = _run(t, f, c, cfg)
+            first = cuts.first_cut(t, fin, hard, cfg.active_us, int(s[1]), int(s[3]))
+            given = cuts.first_cut(t, fin, hard, None, int(s[1]), int(s[3]))
+            inner = cuts.late_starts(t[first:], fin[first:], hard[first:], cfg.active_us) + first if first < len(t) else []
+            out.append(p[np.append([first] if first < given else [], inner).astype(np.int64)])
+        return pd.Series(out)
+
+    return F.pandas_udf(late, "array<bigint>")
 
-def _mark_block(cfg: FlowConfig):
-    def mark(pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pkt_no", ignore_index=True)
-        k = known.iloc[0]
-        ts, fin, hard = _run_arrays(pdf, k, cfg)
-        first = cuts.first_cut(ts, fin, hard, cfg.active_us, int(k["e_ts"]), int(k["e_fins"]))
-        starts = cuts.walk(cuts.next_starts(ts, fin, hard, cfg.active_us), first)
-        carry = {
-            "pkt": int(k["e_pkt"]), "dir": int(k["e_dir"]),
-            "prev_ts": None if pd.isna(k["prev_ts"]) else int(k["prev_ts"]),
-            "last": {d: None if pd.isna(k[f"last{d}_pkt"]) else (int(k[f"last{d}_pkt"]), int(k[f"last{d}_ts"]))
-                     for d in (0, 1)},
-        }
-        out = _mark_rows(pdf, starts, carry)
-        out["flow_seq"] = int(k["e_flows"]) - 1 + np.searchsorted(starts, np.arange(len(pdf)), side="right")
-        return out
 
-    return mark
+def _chained(steps: pd.Series, max_before: pd.Series) -> pd.Series:
+    out = []
+    for group, most in zip(steps, max_before):
+        tables = [_unpack(s) for s in group]
+        joined = tables[0]
+        for t in tables[1:]:
+            joined = cuts.chain(joined, t, int(most))
+        out.append(_pack(joined))
+    return pd.Series(out)
+
+
+def _entered(steps: pd.Series, state: pd.Series) -> pd.Series:
+    """Entry state of each run in turn, starting from the state before the first."""
+    out = []
+    for group, first in zip(steps, state):
+        at, states = tuple(int(v) for v in first), []
+        for s in group:
+            states.append(np.array(at, dtype=np.int64))
+            at = cuts.apply_table(_unpack(s), at)
+        out.append(states)
+    return pd.Series(out)
+
+
+def _grouped(tables: DataFrame, fan_in: int | None) -> DataFrame:
+    """Neighbouring runs of a connection in order, `fan_in` to a row (all, at the top)."""
+    by = KEY if fan_in is None else [*KEY, F.expr(f"blk div {fan_in}").alias("span")]
+    return tables.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("blk", "max_before", "steps"))).alias("runs"))
 
 
 def _oversized(keyed: DataFrame, cfg: FlowConfig) -> DataFrame:
-    """Marked packets (with flow_seq) of connections of any size, block by block."""
+    """Marked packets of connections of any size, block by block."""
     hot = keyed.withColumn("blk", F.expr(f"pkt_no div {cfg.block_packets}"))
-    carry = materialize(_block_carry(hot), "carry")
-    group = [*KEY, "blk"]
-    table_ddl = f"{KEY_DDL}, blk bigint, max_before bigint, {_TABLE_DDL}"
-    levels = [materialize(
-        hot.groupBy(*group).cogroup(carry.groupBy(*group)).applyInPandas(_block_table(cfg), table_ddl), "runs"
-    )]
+    blocks = materialize(_block_rows(hot), "blocks")
+    carry = materialize(_block_carry(blocks.drop("rows")), "carry")
+    known = blocks.select(*_BLOCK, "rows").join(carry, _BLOCK).withColumn("carry", _carry_array(cfg))
+    r = [F.col(f"rows.{c}") for c in ("pkt_no", "ts_us", "dir", "flags")]
+    levels = [materialize(known.select(
+        *_BLOCK, F.col("carry")[4].alias("max_before"), _tables(cfg)(*r, F.col("carry")).alias("steps")), "runs")]
     runs = (carry.agg(F.max("blk")).first()[0] or 0) + 1
-    up = F.expr(f"blk div {cfg.fan_in}").alias("blk")
+    chained, entered = F.pandas_udf(_chained, _STEPS), F.pandas_udf(_entered, _STEPS)
     while runs > cfg.fan_in:
-        levels.append(materialize(
-            levels[-1].groupBy(*KEY, up).applyInPandas(_chain_tables, table_ddl), "chained"
-        ))
+        up = _grouped(levels[-1], cfg.fan_in)
+        most = F.col("runs.max_before")[0]
+        levels.append(materialize(up.select(
+            *KEY, F.col("span").alias("blk"), most.alias("max_before"), chained(F.col("runs.steps"), most).alias("steps")), "chained"))
         runs = -(-runs // cfg.fan_in)
-    state_ddl = f"{KEY_DDL}, blk bigint, {_STATE_DDL}"
-    entry = levels[-1].groupBy(*KEY).applyInPandas(_enter_top, state_ddl)
-    for tables in reversed(levels[:-1]):
-        entry = (
-            tables.withColumn("span", F.expr(f"blk div {cfg.fan_in}")).groupBy(*KEY, "span")
-            .cogroup(entry.withColumnRenamed("blk", "span").groupBy(*KEY, "span"))
-            .applyInPandas(_enter_below, state_ddl)
-        )
-    known = carry.join(entry, group)
-    return hot.groupBy(*group).cogroup(known.groupBy(*group)).applyInPandas(
-        _mark_block(cfg), f"{KEY_DDL}, {BODY_DDL}, {MARKS_DDL}, flow_seq bigint"
-    )
+    unopened = F.array(*[F.lit(v).cast("bigint") for v in _UNOPENED])
+    below = _grouped(levels[-1], None).withColumn("state", unopened)
+    for level in range(len(levels) - 1, -1, -1):
+        states = F.arrays_zip(F.col("runs.blk").alias("blk"), entered(F.col("runs.steps"), F.col("state")).alias("state"))
+        entry = below.select(*KEY, F.inline(states))
+        if level:
+            lower = _grouped(levels[level - 1], cfg.fan_in)
+            below = lower.join(entry.withColumnRenamed("blk", "span"), [*KEY, "span"])
+    entry = materialize(entry, "entry")
+    late = known.join(entry, _BLOCK).select(
+        *_BLOCK, F.explode(_late_in_block(cfg)(r[0], r[1], r[3], F.col("carry"), F.col("state"))).alias("pkt_no"), F.lit(1).alias("is_cut"))
+    before = carry.join(entry, _BLOCK).select(
+        *carry.columns, *[F.col("state")[i].alias(f"c_{n}") for i, n in enumerate(("pkt", "ts", "dir", "fins", "flows"))])
+    # A flow that ended just before the block has nothing to go on with.
+    before = before.withColumn("c_prev_ts", F.when(F.col("c_fins") < cuts.CLOSED, F.col("c_prev_ts")))
+    rows = hot.withColumn("is_cut", F.lit(0)).unionByName(late, allowMissingColumns=True)
+    return _mark(rows.join(before, _BLOCK), cfg, _BLOCK, carry=True)
 
 
 @dataclass(frozen=True)
