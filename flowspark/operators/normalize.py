@@ -28,16 +28,10 @@ def normalize(df: DataFrame) -> DataFrame:
 
 
 def canonical_headers(headers: DataFrame) -> DataFrame:
-    trimmed = F.regexp_replace("name", r"^\s+|\s+$", "")
-    key = F.lower(trimmed)
-    aliases = alias_table(headers.sparkSession)
-    direct = F.broadcast(aliases.select(F.col("alias").alias("a1"), F.col("canonical").alias("c1")))
-    spaced = F.broadcast(aliases.select(F.col("alias").alias("a2"), F.col("canonical").alias("c2")))
-    return (
-        headers.join(direct, key == F.col("a1"), "left")
-        .join(spaced, F.translate(key, "_", " ") == F.col("a2"), "left")
-        .select("dataset", "ordinal", "name", F.coalesce("c1", "c2", trimmed).alias("canonical"))
-    )
+    trimmed = F.btrim("name", F.lit(" \t\n\r\x0b\x0c"))
+    aliases = alias_table(headers.sparkSession).withColumnRenamed("canonical", "known")
+    return headers.join(F.broadcast(aliases), F.lower(trimmed) == F.col("alias"), "left").select(
+        "dataset", "ordinal", "name", F.coalesce("known", trimmed).alias("canonical"))
 
 
 def rename_report(headers: DataFrame) -> DataFrame:
@@ -61,7 +55,9 @@ def schema_present(headers: DataFrame) -> DataFrame:
 
 def schema_missing(headers: DataFrame) -> DataFrame:
     wanted = F.array(*[F.lit(f) for f in FEATURES])
-    have = canonical_headers(headers).groupBy("dataset").agg(F.collect_set("canonical").alias("have"))
+    # At most the 65 features are collected, however many headers a dataset has.
+    known = F.when(F.col("canonical").isin(FEATURES), F.col("canonical"))
+    have = canonical_headers(headers).groupBy("dataset").agg(F.collect_set(known).alias("have"))
     return have.select("dataset", F.explode(F.array_except(wanted, "have")).alias("canonical"))
 
 

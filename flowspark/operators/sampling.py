@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowspark.session import materialize
+
 _DIGITS = 4  # leading hex digits of the hash: 65 536 buckets per class
 
 
@@ -31,15 +33,23 @@ def _histogram(df: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def _cut(hist: DataFrame, by: list[str], limit: Column, name: str) -> DataFrame:
-    """Per class the bucket that reaches `limit` and how many of its rows still fit."""
-    reach = (F.col("_upto") >= limit) & (F.col("_upto") - F.col("_n") < limit)
-    return hist.where(reach).select(*by, F.col("_b").alias(name), (limit - F.col("_upto") + F.col("_n")).alias(f"{name}_left"))
+def _cuts(hist: DataFrame, by: list[str], limits: dict[str, Column]) -> DataFrame:
+    """Per class and limit the bucket that reaches it and how many of its rows still fit.
+
+    One row per class, written out so that the planner knows its size when it picks the join.
+    """
+    def cut(limit: Column) -> Column:
+        reach = (F.col("_upto") >= limit) & (F.col("_upto") - F.col("_n") < limit)
+        return F.max(F.when(reach, F.struct(F.col("_b").alias("b"), (limit - F.col("_upto") + F.col("_n")).alias("left"))))
+
+    found = hist.groupBy(*by).agg(*[cut(limit).alias(name) for name, limit in limits.items()])
+    return materialize(found.select(
+        *by, *[F.col(n)[f].alias(a) for n in limits for f, a in (("b", n), ("left", f"{n}_left"))]), "cuts")
 
 
 def _keep_first(rows: DataFrame, by: list[str], limit: Column, order: list[str]) -> DataFrame:
     """The first `limit` rows of each class by bucket `_b`, then `order`."""
-    cut = _cut(_histogram(rows, by), by, limit, "_cut")
+    cut = _cuts(_histogram(rows, by), by, {"_cut": limit})
     w = Window.partitionBy(*by, "_b").orderBy(*order)
     near = rows.join(cut, by, "left").where(
         (limit > 0) & (F.col("_cut").isNull() | (F.col("_b") <= F.col("_cut")))
@@ -122,6 +132,7 @@ def exclude(df: DataFrame, column: str, values: list[str]) -> DataFrame:
 
 def hold_out(df: DataFrame, column: str, listed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows whose value is listed, all others)."""
+    listed = materialize(listed.select(column).distinct(), "listed")
     return df.join(listed, column, "left_semi"), df.join(listed, column, "left_anti")
 
 
@@ -131,8 +142,7 @@ def stratified_split(df: DataFrame, by: list[str], test: float, val: float, seed
     hist = _histogram(rows, by)
     n_test = F.ceil(F.col("_total") * test)
     n_val = F.ceil((F.col("_total") - n_test) * (val / (1 - test)))
-    cuts = _cut(hist, by, n_test, "_t").join(_cut(hist, by, n_test + n_val, "_v"), by, "left")
-    rows = rows.join(cuts, by, "left")
+    rows = rows.join(_cuts(hist, by, {"_t": n_test, "_v": n_test + n_val}), by, "left")
     inner = (F.col("_b") == F.col("_t")) | (F.col("_b") == F.col("_v"))
     clear = rows.where(~F.coalesce(inner, F.lit(False))).withColumn("split", F.when(
         F.col("_b") < F.col("_t"), "test").when(F.col("_b") < F.col("_v"), "val").otherwise("train"))

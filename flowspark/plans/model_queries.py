@@ -11,11 +11,11 @@ from flowspark.operators import isolation, models
 from flowspark.plans.flow_queries import _K, CFG, assigned
 from flowspark.plans.registry import query
 from flowspark.plans.views import view
-from flowspark.session import scratch_path
+from flowspark.session import materialize, scratch_path
 from flowspark.streaming import flow_stream as fs
 
 # Small models: the queries show the operators, not a tuned detector.
-TRAIN = models.TrainConfig(rf_trees=8, rf_depth=6, gbt_rounds=4, gbt_depth=4, isolation_trees=25)
+TRAIN = models.TrainConfig(rf_trees=6, rf_depth=5, gbt_rounds=3, gbt_depth=3, isolation_trees=25)
 
 
 def _vectors(spark, sf):
@@ -72,16 +72,15 @@ def _labeled(flows):
     })
 
 
-def _detector(spark, sf, features):
-    flows = _labeled(fx.flow_table(view(spark, sf, "packets"), CFG, None, False)).withColumn(
-        "row_id", F.concat_ws("-", "capture_id", F.col("flow_start").cast("string")))
-    detector, _ = models.train(flows, features, "target", "category", "row_id", ["capture_id"], TRAIN)
-    return detector, flows
+def _flows(spark, sf):
+    flows = _labeled(fx.flow_table(view(spark, sf, "packets"), CFG, ["lengths"], False))
+    return materialize(flows.withColumn("row_id", F.concat_ws("-", "capture_id", F.col("flow_start").cast("string"))), "flows")
 
 
 @query("score_flows")
 def score_flows(spark, sf):
-    detector, flows = _detector(spark, sf, _STREAM_FEATURES)
+    flows = _flows(spark, sf)
+    detector, _ = models.train(flows, _STREAM_FEATURES, "target", "category", "row_id", ["capture_id"], TRAIN)
     path = scratch_path(spark, "detector")
     detector.save(path)
     scored = models.Detector.load(path).transform(flows, ood=True)
@@ -118,8 +117,12 @@ def stream_idle_sessions(spark, sf):
 
 @query("stream_scores")
 def stream_scores(spark, sf):
-    detector, _ = _detector(spark, sf, _STREAM_FEATURES)
-    flows = fs.stream_flows(_packet_stream(spark, sf), CFG).where("capture_id <> 'end'")
-    flows = flows.withColumn("dur", F.greatest(F.lit(0), F.col("last_us") - F.col("first_us")))
-    return fs.run_available(detector.transform(flows), "scores").select(
-        "capture_id", "flow_seq", "flow_start", "Predicted_Verdict", "Threat_Confidence_%", "Risk_Level", "Predicted_Category", "OOD_Score")
+    """Flows scored as they end, by a forest fitted on the flows of the same packets at rest."""
+    flows = _flows(spark, sf)
+    scaler = models.fit_scaler(flows, _STREAM_FEATURES)
+    rows = flows.select(F.col("target").cast("double").alias("target"), models.scaled_vector(scaler).alias("features"))
+    detector = models.Detector(scaler, models.fit_forest(rows, "target", "features", TRAIN), "RF", 0.5)
+    stream = fs.stream_flows(_packet_stream(spark, sf), CFG).where("capture_id <> 'end'")
+    stream = stream.withColumn("dur", F.greatest(F.lit(0), F.col("last_us") - F.col("first_us")))
+    return fs.run_available(detector.transform(stream), "scores").select(
+        "capture_id", "flow_seq", "flow_start", "Predicted_Verdict", "Threat_Confidence_%", "Risk_Level", "Predicted_Category")

@@ -22,7 +22,7 @@ from flowspark.session import scratch_path
 
 _TOTALS = ["fwd_pkts", "bwd_pkts", "fwd_bytes", "bwd_bytes"]
 _OPEN = ["flow_start", "start_dir", "first_us", "last_us", "fins", *_TOTALS]
-_STATE = ["seq", "prev_ts", "prev_flags", "is_open", *_OPEN]
+_STATE = ["seq", "prev_ts", "prev_flags", "is_open", "timer", *_OPEN]
 _STATE_DDL = ", ".join(f"{c} bigint" for c in _STATE)
 FLOW_DDL = (f"{KEY_DDL}, flow_seq bigint, flow_start bigint, first_us bigint, last_us bigint, "
             "fwd_pkts bigint, bwd_pkts bigint, fwd_bytes bigint, bwd_bytes bigint, end_reason string")
@@ -47,13 +47,18 @@ class FlowProcessor(StatefulProcessor):
             yield rows[[*KEY, "flow_seq", "flow_start", "first_us", "last_us", *_TOTALS, "end_reason"]]
 
     def _timer(self, key, s: dict) -> None:
-        for at in list(self.handle.listTimers()):
-            self.handle.deleteTimer(at)
+        due = 0
         if s["is_open"]:
             due = s["last_us"] + min(self._idle(key), 10**17)
             if self.cfg.active_us is not None:
                 due = min(due, s["first_us"] + self.cfg.active_us)
-            self.handle.registerTimer(due // 1000 + 1)
+            due = due // 1000 + 1
+        if due != s["timer"]:
+            if s["timer"]:
+                self.handle.deleteTimer(s["timer"])
+            if due:
+                self.handle.registerTimer(due)
+            s["timer"] = due
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows)).sort_values("pkt_no", ignore_index=True)
@@ -67,42 +72,34 @@ class FlowProcessor(StatefulProcessor):
         fin = ((flags & FIN) > 0) & self.cfg.use_fin
         first = cuts.first_cut(ts, fin, hard, self.cfg.active_us, s["first_us"], s["fins"]) if s["is_open"] else 0
         starts = cuts.walk(cuts.next_starts(ts, fin, hard, self.cfg.active_us), first)
-        edges = np.append(starts, len(pdf))
-        done = []
+        # Runs of packets of one flow each; the first may continue the open flow.
+        begins = starts if first == 0 else np.append(0, starts)
+        start_dir = d[begins].copy()
         if first > 0:
-            self._extend(s, pdf, fin, 0, first)
-        for low, high in zip(edges[:-1], edges[1:]):
-            if s["is_open"]:
-                done.append(self._close(s, "timeout"))
-            s.update(seq=s["seq"] + 1, is_open=1, flow_start=int(pkt[low]), start_dir=int(d[low]),
-                     first_us=int(ts[low]), last_us=int(ts[low]), fins=0, **dict.fromkeys(_TOTALS, 0))
-            self._extend(s, pdf, fin, low, high)
-            self._end_by_flag(s, int(flags[high - 1]), done)
-        if first > 0 and not len(starts):
-            self._end_by_flag(s, int(flags[-1]), done)
+            start_dir[0] = s["start_dir"]
+        forward = d == np.repeat(start_dir, np.diff(np.append(begins, len(pdf))))
+        size = pdf["payload_len"].to_numpy().astype(np.int64)
+        sums = [np.add.reduceat(v.astype(np.int64), begins)
+                for v in (forward, ~forward, np.where(forward, size, 0), np.where(forward, 0, size), fin)]
+        done = []
+        for i, (low, high) in enumerate(zip(begins, np.append(begins[1:], len(pdf)))):
+            if i > 0 or first == 0:
+                if s["is_open"]:
+                    done.append(self._close(s, "timeout"))
+                s.update(seq=s["seq"] + 1, is_open=1, flow_start=int(pkt[low]), start_dir=int(d[low]),
+                         first_us=int(ts[low]), fins=0, **dict.fromkeys(_TOTALS, 0))
+            for name, total in zip([*_TOTALS, "fins"], sums):
+                s[name] += int(total[i])
+            s["last_us"] = int(ts[high - 1])
+            if self.cfg.use_rst and flags[high - 1] & RST:
+                done.append(self._close(s, "rst"))
+            elif s["fins"] >= cuts.CLOSED:
+                done.append(self._close(s, "fin"))
         s.update(prev_ts=int(ts[-1]), prev_flags=int(flags[-1]))
-        self.state.update(tuple(int(s[c]) for c in _STATE))
         self._timer(key, s)
+        self.state.update(tuple(int(s[c]) for c in _STATE))
         yield from self._emit(key, done)
 
-    def _end_by_flag(self, s: dict, last_flags: int, done: list) -> None:
-        if self.cfg.use_rst and last_flags & RST:
-            done.append(self._close(s, "rst"))
-        elif s["fins"] >= cuts.CLOSED:
-            done.append(self._close(s, "fin"))
-
-    @staticmethod
-    def _extend(s: dict, pdf: pd.DataFrame, fin, low: int, high: int) -> None:
-        part = pdf.iloc[low:high]
-        forward = part["dir"].to_numpy() == s["start_dir"]
-        size = part["payload_len"].to_numpy()
-        s["fwd_pkts"] += int(forward.sum())
-        s["bwd_pkts"] += int((~forward).sum())
-        s["fwd_bytes"] += int(size[forward].sum())
-        s["bwd_bytes"] += int(size[~forward].sum())
-        s["fins"] += int(fin[low:high].sum())
-        s["last_us"] = int(part["ts_us"].iloc[-1])
-
     @staticmethod
     def _close(s: dict, reason: str) -> dict:
         s["is_open"] = 0
@@ -112,6 +109,7 @@ class FlowProcessor(StatefulProcessor):
         s = dict(zip(_STATE, self.state.get()))
         if s["is_open"]:
             flow = self._close(s, "timeout")
+            s["timer"] = 0
             self.state.update(tuple(int(s[c]) for c in _STATE))
             yield from self._emit(key, [flow])
 
