@@ -42,6 +42,15 @@ def scan_csv_any(spark: SparkSession, path: str, glob: str = "*.csv", columns: l
     return out
 
 
+_C1 = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)]
+
+
+def from_cp1252(text: Column) -> Column:
+    """Text that was read as latin-1 but is Windows-1252, which the CSV reader does not know."""
+    known = [(latin, real) for latin, real in _C1 if real]
+    return F.translate(text, "".join(a for a, _ in known), "".join(b for _, b in known))
+
+
 def file_name() -> Column:
     return F.col("_metadata.file_name")
 
@@ -51,10 +60,11 @@ def folder_value(name: str) -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), f"{name}=([^/]+)/", 1)
 
 
-def scan_dir(spark: SparkSession, path: str, glob: str = "*.csv", capture: Column | None = None) -> DataFrame:
-    """All CSV files under a folder, each row tagged with the file it came from."""
+def scan_dir(spark: SparkSession, path: str, glob: str = "*.csv", capture: Column | None = None,
+             encoding: str = "utf-8") -> DataFrame:
+    """All CSV files of one header under a folder (or one file), each row tagged with its file."""
     reader = spark.read.option("header", True).option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    df = reader.csv(path)
+    df = reader.option("encoding", encoding).csv(path)
     return df.select("*", (capture if capture is not None else file_name()).alias("capture_id"))
 
 
