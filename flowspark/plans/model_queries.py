@@ -91,9 +91,9 @@ def score_flows(spark, sf):
 def _packet_stream(spark, sf):
     """The packets as a stream, closed by one far later packet that moves the watermark past every timeout."""
     packets = view(spark, sf, "packets")
-    last = packets.agg(F.max("ts_us")).first()[0]
-    end = packets.where("pkt_no = 0").limit(1).withColumns({
-        "capture_id": F.lit("end"), "ts_us": F.lit(last + 10 * CFG.active_us).cast("bigint")})
+    later = (F.max("ts_us") + 10 * CFG.active_us).alias("ts_us")
+    fields = {"capture_id": F.lit("end"), "ts_us": F.col("ts_us"), "src_ip": F.lit("0"), "dst_ip": F.lit("0")}
+    end = packets.agg(later).select(*[fields.get(c, F.lit(0)).cast(t).alias(c) for c, t in packets.dtypes])
     path = scratch_path(spark, "packets")
     packets.unionByName(end).write.parquet(path)
     return fs.open_stream(spark, path, spark.read.parquet(path).schema)

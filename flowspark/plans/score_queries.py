@@ -88,11 +88,11 @@ def exclude_families(spark, sf):
 
 def _held(spark, sf):
     rows = view(spark, sf, "scored").select("row_id", "specific_family")
-    listed = rows.where("row_id % 1000 = 7").select("specific_family").distinct()
+    listed = rows.where(F.col("specific_family").isin("F2", "F5", "F9"))
     return sampling.hold_out(rows, "specific_family", listed)
 
 
-_HELD = "(SELECT specific_family FROM scored WHERE row_id % 1000 = 7)"
+_HELD = "('F2', 'F5', 'F9')"
 query("heldout_semi", _S + f"SELECT row_id, specific_family FROM scored WHERE specific_family IN {_HELD}")(lambda s, d: _held(s, d)[0])
 query("heldout_anti", _S + f"SELECT row_id, specific_family FROM scored WHERE specific_family NOT IN {_HELD}")(lambda s, d: _held(s, d)[1])
 
