@@ -13,7 +13,6 @@ from flowspark.functions.schema import FEATURES
 from flowspark.operators.flows import (
     ACK, FIN, KEY, PSH, SYN, TCP, UDP, URG, FlowConfig, mark_flows,
 )
-from flowspark.session import materialize
 
 FLOW = [*KEY, "flow_start"]
 META = ["Source_IP", "Destination_IP", "Source_Port", "Destination_Port", "Protocol", "Packets", "Bytes"]
@@ -155,7 +154,8 @@ def _aggregate(marked, cfg: FlowConfig, blocks: list[str], bursts: bool) -> Data
     rows = _with_bursts(marked.ordinary, cfg.burst_us) if bursts else marked.ordinary
     out = rows.groupBy(*FLOW).agg(*named, *burst_named)
     if marked.oversized is not None:
-        rows = materialize(marked.oversized, "marked")
+        # Marking again for the bursts moves only key, time and number; writing whole packets would move more.
+        rows = marked.oversized
         big = rows.groupBy(*FLOW).agg(*named)
         if bursts:
             big = big.join(burst_rows(rows, cfg.burst_us).groupBy(*FLOW).agg(*burst_named), FLOW)

@@ -361,8 +361,9 @@ def _oversized(keyed: DataFrame, cfg: FlowConfig) -> DataFrame:
             lower = _grouped(levels[level - 1], cfg.fan_in)
             below = lower.join(entry.withColumnRenamed("blk", "span"), [*KEY, "span"])
     entry = materialize(entry, "entry")
-    late = known.join(entry, _BLOCK).select(
-        *_BLOCK, F.explode(_late_in_block(cfg)(r[0], r[1], r[3], F.col("carry"), F.col("state"))).alias("pkt_no"), F.lit(1).alias("is_cut"))
+    found = _late_in_block(cfg)(r[0], r[1], r[3], F.col("carry"), F.col("state"))
+    late = materialize(known.join(entry, _BLOCK).select(
+        *_BLOCK, F.explode(found).alias("pkt_no"), F.lit(1).alias("is_cut")), "late")
     before = carry.join(entry, _BLOCK).select(
         *carry.columns, *[F.col("state")[i].alias(f"c_{n}") for i, n in enumerate(("pkt", "ts", "dir", "fins", "flows"))])
     # A flow that ended just before the block has nothing to go on with.
