@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from flowspark.llm import chat_format, exact_dedup, packing
+from flowspark.llm import chat_format, decontaminate, exact_dedup, packing
 
 QUERIES = {
+    "op10_decontamination": decontaminate.op10_decontamination,
     "op4_packing": packing.op4_packing,
     "op8_chat_format": chat_format.op8_chat_format,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
