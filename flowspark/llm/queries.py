@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from flowspark.llm import chat_format, decontaminate, exact_dedup, packing
+from flowspark.llm import chat_format, decontaminate, exact_dedup, packing, quality, toxicity
 
 QUERIES = {
+    "op2_quality": quality.op2_quality,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op10_decontamination": decontaminate.op10_decontamination,
     "op4_packing": packing.op4_packing,
     "op8_chat_format": chat_format.op8_chat_format,
