@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from flowspark.llm import chat_format, decontaminate, exact_dedup, packing, quality, toxicity
+from flowspark.llm import chat_format, decontaminate, exact_dedup, language, packing, quality, toxicity
 
 QUERIES = {
+    "op6_language": language.op6_language,
     "op2_quality": quality.op2_quality,
     "op3_toxicity": toxicity.op3_toxicity,
     "op10_decontamination": decontaminate.op10_decontamination,
