@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from flowspark.llm import chat_format, decontaminate, exact_dedup, language, packing, quality, toxicity
+from flowspark.llm import chat_format, decontaminate, exact_dedup, language, ngram_join, packing, quality, toxicity
 
 QUERIES = {
+    "op7_ngram_join": ngram_join.op7_ngram_join,
     "op6_language": language.op6_language,
     "op2_quality": quality.op2_quality,
     "op3_toxicity": toxicity.op3_toxicity,
