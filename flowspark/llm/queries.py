@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from flowspark.llm import chat_format, decontaminate, exact_dedup, language, ngram_join, packing, quality, toxicity
+from flowspark.llm import chat_format, decontaminate, exact_dedup, language, ngram_join, packing, quality, substring_dedup, toxicity
 
 QUERIES = {
+    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op7_ngram_join": ngram_join.op7_ngram_join,
     "op6_language": language.op6_language,
     "op2_quality": quality.op2_quality,
@@ -15,6 +16,7 @@ QUERIES = {
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 ORACLES = {
+    "op1_substring_dedup": substring_dedup.ORACLE,
     "op8_chat_format": chat_format.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
 }
