@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from flowspark.llm import chat_format, decontaminate, exact_dedup, language, ngram_join, packing, quality, substring_dedup, toxicity
+from flowspark.llm import chat_format, decontaminate, exact_dedup, language, ngram_join, packing, quality, substring_dedup, suffix_dedup, toxicity
 
 QUERIES = {
+    "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op7_ngram_join": ngram_join.op7_ngram_join,
     "op6_language": language.op6_language,
