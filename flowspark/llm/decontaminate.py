@@ -201,6 +201,12 @@ def _with_block(docs: DataFrame, block: list, text_col: str, out: str, q: int, r
     return docs.withColumn(out, F.concat(F.col(out), leaks(F.col(f"`{text_col}`"))))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """docs without the rows that share a passage with the benchmark; all columns as they are."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    return with_matches(rows, benchmark).where(F.size("_leaks") == 0).select("row.*")
+
+
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:
     """Every document with what it shares with the benchmark."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")

@@ -323,7 +323,37 @@ def _second_pass(table: pa.Table) -> pa.Table:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id, n_links (linked rows, itself not counted), set_id."""
+    """One row per row of docs: doc_id, n_shingles, component_id, n_links (linked rows, itself not counted)."""
+    return _judged(docs, id_col, text_col, words).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
+    """docs with one row of each component left, the one with the smallest id; all columns as they are.
+
+    Rows without words stay. Of rows with equal ids and texts in a component one stays.
+    """
+    judged = materialize(_judged(docs, id_col, text_col, words).where("n_shingles > 0").select("root", *_place()), "judged")
+    places = judged.groupBy("root", "_none", "_id", "_h").agg(F.count(F.lit(1)).alias("rows"))
+    kept = places.groupBy("root").agg(F.min(F.struct("_none", "_id", "_h")).alias("k"))
+    told = materialize(places.join(kept, "root").withColumn("keep", F.col("k") == F.struct("_none", "_id", "_h")), "told")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*names).alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                       F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("h")).select("row", *_place())
+
+    def at(some: DataFrame, how: str, of: DataFrame) -> DataFrame:
+        small = some.count() <= BROADCAST_ROWS
+        some = some.select("_none", "_id", "_h").distinct()
+        return of.join(F.broadcast(some) if small else some, ["_none", "_id", "_h"], how)
+
+    left = at(told.where("NOT keep"), "left_anti", rows)
+    repeated = told.where("keep AND rows > 1")
+    if not repeated.isEmpty():
+        left = at(repeated, "left_anti", left).unionByName(at(repeated, "left_semi", left).dropDuplicates(["_none", "_id", "_h"]))
+    return left.select("row.*")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """doc_id, h (hash of the text), n_shingles, component_id, n_links and the component's root set of every row."""
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")) \
         .withColumn("h", F.xxhash64("text"))
     made = materialize(_set_rows(source, words), "sets")
@@ -361,11 +391,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     told = classes.select("sid", "least_id", "weight").join(roots.withColumnRenamed("node", "sid"), "sid", "left") \
         .join(linked.withColumnRenamed("u", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     smallest = told.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    told = told.join(smallest, "root").select("sid", "component_id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("sid")).alias("sid")) \
+    told = told.join(smallest, "root").select("sid", "root", "component_id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    return rows.select("doc_id", "h", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("sid")).alias("sid")) \
         .join(told, "sid", "left").select(
-            "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-            F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.col("sid").alias("set_id"))
+            "doc_id", "h", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+            F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "root")
 
 
 def _place() -> list:

@@ -203,6 +203,12 @@ def with_toxicity(docs: DataFrame, chain: Chain, text_col: str = "text", out: st
     return docs.withColumn(out, judged(F.col(f"`{text_col}`")))
 
 
+def drop_toxic(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
+    """docs without the rows the chain rejects; all columns as they are."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    return with_toxicity(rows, chain).where("NOT _toxicity.rejected").select("row.*")
+
+
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
