@@ -2,7 +2,9 @@
 
 Two passes, both distributed. The first walks the record headers of each file and notes where
 every `split_packets`-th record starts; the second decodes those stretches in parallel, so that a
-large capture is not the work of one task. Files are streamed, never read whole.
+large capture is not the work of one task. Files are read in pieces of `piece` bytes, one request
+each; within a piece headers are walked in memory and the fields of all its packets are gathered
+at once.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from flowspark.operators import labels
 from flowspark.operators.flows import TCP, UDP
+from flowspark.session import materialize
 from flowspark.sources.tables import new_captures
 
 PACKET_DDL = (
@@ -35,163 +38,214 @@ _SECTION, _INTERFACE, _SIMPLE, _ENHANCED = 0x0A0D0D0A, 1, 3, 6
 _ETHERNET, _RAW, _LINUX_SLL, _LOOPBACK = 1, (12, 101), 113, 0
 
 
+#: What a ledger knows a finished capture by.
+LEDGER_KEY = ["path", "max_packets", "idle_us", "active_us"]
+#: Bytes fetched at a time from a capture; on object storage this is one request.
+PIECE = 16 << 20
+#: Most tasks asked for in one pass.
+_MOST_TASKS = 20_000
+
+
 def _open(path: str):
     system, local = fs.FileSystem.from_uri(path)
     return system.open_input_file(local)
 
 
-def _start(f) -> dict:
-    head = f.read(24)
+class _Pieces:
+    """A file read in pieces; at most one is held."""
+
+    def __init__(self, f, size: int):
+        self.f, self.size, self.base, self.data = f, size, 0, b""
+
+    def holds(self, at: int, n: int) -> bool:
+        return self.base <= at and at + n <= self.base + len(self.data)
+
+    def fetch(self, at: int, n: int) -> bool:
+        self.f.seek(at)
+        self.base, self.data = at, self.f.read(max(n, self.size))
+        return len(self.data) >= n
+
+
+def _start(pieces: _Pieces) -> dict:
+    """Format, byte order, link types and clocks (units per second) as far as the file's first bytes tell."""
+    pieces.fetch(0, 24)
+    head = pieces.data[:24]
     if head[:4] in _PCAP:
         order, per_us = _PCAP[head[:4]]
         link = struct.unpack(order + "I", head[20:24])[0] & 0x0FFFFFFF
-        return {"kind": "pcap", "order": order, "links": [link], "per_us": [per_us], "offset": 24}
+        return {"kind": "pcap", "order": order, "links": [link], "clocks": [per_us * 1_000_000], "offset": 24}
     if head[:4] == b"\x0a\x0d\x0d\x0a":
-        return {"kind": "pcapng", "order": "<" if head[8:12] == b"\x4d\x3c\x2b\x1a" else ">", "links": [], "per_us": [], "offset": 0}
+        return {"kind": "pcapng", "order": "<" if head[8:12] == b"\x4d\x3c\x2b\x1a" else ">", "links": [], "clocks": [], "offset": 0}
     raise ValueError("not a capture file")
 
 
-def _resolution(order: str, options: bytes) -> float:
-    """Time units per microsecond of a pcapng interface."""
+def _clock(order: str, options: bytes) -> int:
+    """Time units per second of a pcapng interface."""
     at = 0
     while at + 4 <= len(options):
         code, size = struct.unpack(order + "HH", options[at:at + 4])
         if code == 9 and size:
             v = options[at + 4]
-            return (2.0 ** (v & 0x7F) if v & 0x80 else 10.0 ** v) / 1e6
+            return 2 ** (v & 0x7F) if v & 0x80 else 10 ** v
         if code == 0:
             break
         at += 4 + (size + 3) // 4 * 4
-    return 1.0
+    return 1_000_000
 
 
-def _records(f, state: dict, stop: int | None, payload: bool) -> Iterator[tuple]:
-    """(offset, ts_us, link type, captured bytes) of each record from state['offset']; bytes only on demand."""
-    order, at = state["order"], state["offset"]
-    f.seek(at)
+def _walk(pieces: _Pieces, state: dict, stop: int | None) -> Iterator[tuple[bytes, np.ndarray]]:
+    """Runs of records from state['offset'], one per fetched piece: its bytes and rows of (offset in the file, time in
+    microseconds, link type, first byte in the piece, captured bytes). Interfaces met on the way are noted in state."""
+    at, rows = state["offset"], []
+
+    def run():
+        out = pieces.data, np.array(rows, np.int64).reshape(-1, 5)
+        rows.clear()
+        return out
+
+    pcap, head = state["kind"] == "pcap", 16 if state["kind"] == "pcap" else 12
     while stop is None or at < stop:
-        if state["kind"] == "pcap":
-            head = f.read(16)
-            if len(head) < 16:
+        if not pieces.holds(at, head):
+            if rows:
+                yield run()
+            if not pieces.fetch(at, head):
                 return
-            sec, frac, size, _ = struct.unpack(order + "IIII", head)
-            here, at = at, at + 16 + size
-            body = f.read(size) if payload else f.seek(at)
-            if payload and len(body) < size:
+        i, order = at - pieces.base, state["order"]
+        if pcap:
+            sec, frac, size, _ = struct.unpack_from(order + "IIII", pieces.data, i)
+            whole = 16 + size
+        else:
+            if pieces.data[i:i + 4] == b"\x0a\x0d\x0d\x0a":
+                if rows:
+                    yield run()  # before the state changes: a run's records all go by the state as it stands
+                order = state["order"] = "<" if pieces.data[i + 8:i + 12] == b"\x4d\x3c\x2b\x1a" else ">"
+                state["links"], state["clocks"] = [], []
+            kind, whole = struct.unpack_from(order + "II", pieces.data, i)
+            if whole < 12:
+                break
+        if not pieces.holds(at, whole):
+            if rows:
+                yield run()
+            if not pieces.fetch(at, whole):
                 return
-            yield here, sec * 1_000_000 + frac // state["per_us"][0], state["links"][0], body
-            continue
-        head = f.read(8)
-        if len(head) < 8:
-            return
-        if head[:4] == b"\x0a\x0d\x0d\x0a":
-            magic = f.read(4)
-            order = state["order"] = "<" if magic == b"\x4d\x3c\x2b\x1a" else ">"
-            state["links"], state["per_us"] = [], []
-            f.seek(at + 8)
-        kind, size = struct.unpack(order + "II", head)
-        if size < 12:
-            return
-        here, at = at, at + size
-        if kind == _INTERFACE:
-            body = f.read(size - 12)
-            state["links"].append(struct.unpack(order + "H", body[:2])[0])
-            state["per_us"].append(_resolution(order, body[8:]))
+            i = 0
+        if pcap:
+            rows.append((at, sec * 1_000_000 + frac * 1_000_000 // state["clocks"][0], state["links"][0], i + 16, size))
+        elif kind == _INTERFACE:
+            if rows:
+                yield run()
+            state["links"].append(struct.unpack_from(order + "H", pieces.data, i + 8)[0])
+            state["clocks"].append(_clock(order, pieces.data[i + 16:i + whole - 4]))
         elif kind == _ENHANCED:
-            iface, high, low, kept, _ = struct.unpack(order + "IIIII", f.read(20))
-            body = f.read(kept) if payload else b""
-            yield here, int(((high << 32) | low) / state["per_us"][iface]), state["links"][iface], body
+            iface, high, low, kept, _ = struct.unpack_from(order + "IIIII", pieces.data, i + 8)
+            rows.append((at, ((high << 32) | low) * 1_000_000 // state["clocks"][iface], state["links"][iface], i + 28, kept))
         elif kind == _SIMPLE:
-            body = f.read(size - 12)[4:]
-            yield here, 0, state["links"][0] if state["links"] else _ETHERNET, body
-        f.seek(at)
+            size = min(struct.unpack_from(order + "I", pieces.data, i + 8)[0], whole - 16)
+            rows.append((at, 0, state["links"][0] if state["links"] else _ETHERNET, i + 12, size))
+        at += whole
+    if rows:
+        yield run()
 
 
-def _index(split_packets: int):
+def _index(split_packets: int, piece: int):
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path in pdf["path"]:
                 with _open(path) as f:
-                    state, rows, n = _start(f), [], 0
-                    for offset, *_ in _records(f, state, None, payload=False):
-                        if n % split_packets == 0:
-                            rows.append((path, json.dumps({**state, "offset": offset}), offset, n))
-                        n += 1
+                    pieces = _Pieces(f, piece)
+                    state, rows, n = _start(pieces), [], 0
+                    for _, run in _walk(pieces, state, None):
+                        for r in range(-n % split_packets, len(run), split_packets):
+                            rows.append((path, json.dumps({**state, "offset": int(run[r, 0])}), int(run[r, 0]), n + r))
+                        n += len(run)
                     stops = [r[2] for r in rows[1:]] + [np.iinfo(np.int64).max]
                 if rows:
-                    yield pd.DataFrame([(p, s, o, e, n0) for (p, s, o, n0), e in zip(rows, stops)],
+                    yield pd.DataFrame([(p, s, o, e, n0) for (p, s, o, n0), e in zip(rows, stops, strict=True)],
                                        columns=["path", "state", "offset", "stop", "first_pkt"])
 
     return index
 
 
-def _network(link: int, b: bytes) -> int:
-    """Where the IP header starts, or -1."""
-    if link == _ETHERNET:
-        at, kind = 14, b[12:14]
-        while kind in (b"\x81\x00", b"\x88\xa8"):
-            at, kind = at + 4, b[at + 2:at + 4]
-        return at if kind in (b"\x08\x00", b"\x86\xdd") else -1
-    if link in _RAW:
-        return 0
-    if link == _LINUX_SLL:
-        return 16 if b[14:16] in (b"\x08\x00", b"\x86\xdd") else -1
-    return 4 if link == _LOOPBACK else -1
-
-
-def parse(link: int, b: bytes, basis: str = "frame") -> tuple | None:
-    """Addresses, ports, protocol, payload and header length, flags and window of one TCP or UDP packet."""
-    at = _network(link, b)
-    if at < 0 or len(b) < at + 20:
-        return None
-    version = b[at] >> 4
-    if version == 4:
-        ip_len, total = (b[at] & 0xF) * 4, struct.unpack_from(">H", b, at + 2)[0]
-        if struct.unpack_from(">H", b, at + 6)[0] & 0x1FFF:
-            return None
-        proto, src, dst, family = b[at + 9], b[at + 12:at + 16], b[at + 16:at + 20], socket.AF_INET
-        t = at + ip_len
-    elif version == 6 and len(b) >= at + 40:
-        ip_len, total = 40, 40 + struct.unpack_from(">H", b, at + 4)[0]
-        proto, src, dst, family = b[at + 6], b[at + 8:at + 24], b[at + 24:at + 40], socket.AF_INET6
-        t = at + 40
-        while proto in (0, 43, 60) and len(b) >= t + 8:  # extension headers before the transport
-            proto, t = b[t], t + 8 + b[t + 1] * 8
-    else:
-        return None
-    if proto == TCP and len(b) >= t + 16:
-        header = (b[t + 12] >> 4) * 4 or 20
-        flags, win = b[t + 13] & 0x3F, struct.unpack_from(">H", b, t + 14)[0]
-    elif proto == UDP and len(b) >= t + 8:
-        header, flags, win = 8, 0, -1
-    else:
-        return None
-    sport, dport = struct.unpack_from(">HH", b, t)
-    length = len(b) if basis == "frame" else total
-    return (socket.inet_ntop(family, src), socket.inet_ntop(family, dst), sport, dport, proto,
-            max(0, length - ip_len - header), header, flags, win)
-
-
-def _decode(basis: str, max_packets: int | None):
-    columns = [c.split()[0] for c in PACKET_DDL.split(", ")]
-
+class _Fields:
+    """Bytes of many packets in one piece: the same place of every packet at once; places outside a packet give 0."""
+
+    def __init__(self, data: bytes, first: np.ndarray, size: np.ndarray):
+        self.data, self.first, self.size = np.frombuffer(data, np.uint8), first, size
+
+    def byte(self, at: np.ndarray | int) -> np.ndarray:
+        at = np.broadcast_to(at, self.first.shape)
+        inside = (at >= 0) & (at < self.size)
+        return np.where(inside, self.data[np.where(inside, self.first + at, 0)], 0).astype(np.int64)
+
+    def short(self, at: np.ndarray | int) -> np.ndarray:
+        return (self.byte(at) << 8) | self.byte(at + 1)
+
+    def texts(self, at: np.ndarray, n: int, family: int, some: np.ndarray) -> np.ndarray:
+        """Addresses of n bytes of some packets as text; each different one is written once."""
+        raw = self.data[(self.first + at)[some][:, None] + np.arange(n)]
+        names, back = np.unique(np.ascontiguousarray(raw).view(f"V{n}").ravel(), return_inverse=True)
+        return np.array([socket.inet_ntop(family, x.tobytes().ljust(n, b"\0")) for x in names], object)[back]
+
+
+_IP_KINDS = (0x0800, 0x86DD)
+
+
+def _network(p: _Fields, link: np.ndarray) -> np.ndarray:
+    """Where each packet's IP header starts, or -1."""
+    at, kind = np.full(len(link), 14), p.short(12)
+    while (tagged := np.isin(kind, (0x8100, 0x88A8)) & (at < p.size)).any():
+        kind = np.where(tagged, p.short(at + 2), kind)
+        at = at + 4 * tagged
+    ethernet = np.where(np.isin(kind, _IP_KINDS), at, -1)
+    cooked = np.where(np.isin(p.short(14), _IP_KINDS), 16, -1)
+    return np.select([link == _ETHERNET, np.isin(link, _RAW), link == _LINUX_SLL, link == _LOOPBACK], [ethernet, 0, cooked, 4], -1)
+
+
+def _packets(data: bytes, run: np.ndarray, basis: str) -> tuple[np.ndarray, dict]:
+    """Which records are TCP or UDP packets, and their columns from src_ip on."""
+    p = _Fields(data, run[:, 3], run[:, 4])
+    at = _network(p, run[:, 2])
+    fits = (at >= 0) & (p.size >= at + 20)
+    version = p.byte(at) >> 4
+    v4, v6 = fits & (version == 4), fits & (version == 6) & (p.size >= at + 40)
+    v4 &= (p.short(at + 6) & 0x1FFF) == 0
+    ip_len = np.where(v4, (p.byte(at) & 0xF) * 4, 40)
+    total = np.where(v4, p.short(at + 2), 40 + p.short(at + 4))
+    proto, t = np.where(v4, p.byte(at + 9), p.byte(at + 6)), at + ip_len
+    while (more := v6 & np.isin(proto, (0, 43, 60)) & (p.size >= t + 8)).any():  # extension headers before the transport
+        proto, t = np.where(more, p.byte(t), proto), np.where(more, t + 8 + p.byte(t + 1) * 8, t)
+    tcp, udp = (v4 | v6) & (proto == TCP) & (p.size >= t + 16), (v4 | v6) & (proto == UDP) & (p.size >= t + 8)
+    keep = np.flatnonzero(tcp | udp)
+    offset = (p.byte(t + 12) >> 4) * 4
+    header = np.where(udp, 8, np.where(offset == 0, 20, offset))
+    length = p.size if basis == "frame" else total
+    src, dst = np.empty(len(run), object), np.empty(len(run), object)
+    for some, n, family, a, b in ((v4, 4, socket.AF_INET, 12, 16), (v6, 16, socket.AF_INET6, 8, 24)):
+        some = some & (tcp | udp)
+        if some.any():
+            src[some], dst[some] = p.texts(at + a, n, family, some), p.texts(at + b, n, family, some)
+    columns = {
+        "src_ip": src, "dst_ip": dst, "src_port": p.short(t), "dst_port": p.short(t + 2), "protocol": proto,
+        "payload_len": np.maximum(0, length - ip_len - header), "header_len": header,
+        "flags": np.where(tcp, p.byte(t + 13) & 0x3F, 0), "win": np.where(tcp, p.short(t + 14), -1),
+    }
+    return keep, {name: values[keep] for name, values in columns.items()}
+
+
+def _decode(basis: str, max_packets: int | None, piece: int):
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for split in pdf.itertuples():
-                name, n, rows = split.path.rsplit("/", 1)[-1], split.first_pkt, []
+                name, n = split.path.rsplit("/", 1)[-1], split.first_pkt
                 with _open(split.path) as f:
-                    for _, ts_us, link, body in _records(f, json.loads(split.state), split.stop, payload=True):
-                        if max_packets is not None and n >= max_packets:
+                    for data, run in _walk(_Pieces(f, piece), json.loads(split.state), split.stop):
+                        if max_packets is not None:
+                            run = run[:max(0, max_packets - n)]
+                        if not len(run):
                             break
-                        fields = parse(link, body, basis)
-                        if fields:
-                            rows.append((name, split.path, n, ts_us, *fields))
-                        n += 1
-                        if len(rows) >= 65_536:
-                            yield pd.DataFrame(rows, columns=columns)
-                            rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=columns)
+                        keep, columns = _packets(data, run, basis)
+                        yield pd.DataFrame({"capture_id": name, "path": split.path, "pkt_no": n + keep, "ts_us": run[keep, 1], **columns})
+                        n += len(run)
 
     return decode
 
@@ -205,20 +259,31 @@ def find_captures(spark: SparkSession, path: str) -> DataFrame:
 
 
 def decode_captures(spark: SparkSession, path: str | DataFrame, max_packets: int | None = None, payload_basis: str = "frame",
-                    split_packets: int = 1 << 20) -> DataFrame:
+                    split_packets: int = 1 << 18,
+                    piece: int = PIECE) -> DataFrame:
     """TCP and UDP packets of captures; pkt_no counts every record of a file, `max_packets` caps it."""
     found = path if isinstance(path, DataFrame) else find_captures(spark, path)
-    splits = found.select("path").repartition("path").mapInPandas(_index(split_packets), _SPLIT_DDL)
+    # A row of a few bytes stands for a whole file or stretch: the number of tasks has to be said, or they are merged.
+    files = max(1, min(found.count(), _MOST_TASKS))
+    splits = materialize(found.select("path").repartition(files).mapInPandas(_index(split_packets, piece), _SPLIT_DDL), "splits")
     if max_packets is not None:
         splits = splits.where(F.col("first_pkt") < max_packets)
-    return splits.repartition("path", "offset").mapInPandas(_decode(payload_basis, max_packets), PACKET_DDL)
+    tasks = max(1, min(splits.count(), _MOST_TASKS))
+    return splits.repartition(tasks).mapInPandas(_decode(payload_basis, max_packets, piece), PACKET_DDL)
 
 
 def load_captures(spark: SparkSession, path: str, done: DataFrame | None = None, exclude: list[str] = (),
-                  max_packets: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Labeled captures not yet done with these parameters, and their packets."""
-    found = labels.path_labels(find_captures(spark, path)).withColumn("max_packets", F.coalesce(F.lit(max_packets).cast("int"), F.lit(-1)))
+                  max_packets: int | None = None, idle_us: int | None = None, active_us: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Labeled captures not yet done with these parameters (packet cap and timeouts), and their packets."""
+    found = labels.path_labels(find_captures(spark, path))
+    for name, value in (("max_packets", max_packets), ("idle_us", idle_us), ("active_us", active_us)):
+        found = found.withColumn(name, F.lit(-1 if value is None else value).cast("long"))
     found = found.where(~F.col("specific_family").isin(list(exclude))) if exclude else found
     if done is not None:
-        found = new_captures(found, done, ["path", "max_packets"])
+        found = new_captures(found, done, LEDGER_KEY)
     return found, decode_captures(spark, found, max_packets)
+
+
+def record_captures(found: DataFrame, path: str) -> None:
+    """Append captures whose flows are written to a ledger, to be given as `done` next time."""
+    found.select(*LEDGER_KEY).write.mode("append").parquet(path)

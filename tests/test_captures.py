@@ -91,3 +91,59 @@ def test_only_new_captures_are_read(spark, folder):
     assert [r.capture_id for r in left.collect()] == ["one.pcap"] and more.select("capture_id").distinct().count() == 1
     assert captures.load_captures(spark, folder, done=found, max_packets=5)[0].count() == 2
     assert captures.load_captures(spark, folder, exclude=["Zeus"])[0].count() == 1
+
+
+def test_changed_timeouts_are_extracted_again(spark, folder, tmp_path):
+    found, _ = captures.load_captures(spark, folder, idle_us=5, active_us=7)
+    captures.record_captures(found, str(tmp_path / "ledger"))
+    done = spark.read.parquet(str(tmp_path / "ledger"))
+    assert captures.load_captures(spark, folder, done=done, idle_us=5, active_us=7)[0].count() == 0
+    assert captures.load_captures(spark, folder, done=done, idle_us=5, active_us=8)[0].count() == 2
+
+
+@pytest.mark.parametrize("piece", [24, 100, 1 << 20])
+def test_pieces_of_any_size_decode_alike(spark, folder, piece):
+    rows = captures.decode_captures(spark, folder, split_packets=2, piece=piece).orderBy("capture_id", "pkt_no").collect()
+    for name in ("one.pcap", "Gmail.pcapng"):
+        mine = [r for r in rows if r.capture_id == name]
+        assert [(r.pkt_no, r.src_ip, r.src_port, r.dst_port, r.protocol, r.payload_len, r.header_len, r.flags, r.win) for r in mine] == WANT
+
+
+def test_reads_are_bounded_by_bytes(tmp_path):
+    class Counted:
+        def __init__(self, data):
+            self.data, self.at, self.reads = data, 0, 0
+
+        def seek(self, at):
+            self.at = at
+
+        def read(self, n):
+            self.reads += 1
+            self.at += n
+            return self.data[self.at - n:self.at]
+
+    data = pcap() + b"".join(struct.pack("<IIII", 1, 2, 60, 60) + b"\0" * 60 for _ in range(10_000))
+    f = Counted(data)
+    pieces = captures._Pieces(f, 100_000)
+    state = captures._start(pieces)
+    assert sum(len(run) for _, run in captures._walk(pieces, state, None)) == 10_000 + len(FRAMES)
+    assert f.reads <= 3 + 2 * len(data) / 100_000
+
+
+def test_nanoseconds_are_cut_exactly(spark, tmp_path):
+    t = 1_700_000_000_123_456_999
+    data = block(0x0A0D0D0A, struct.pack("<IHHq", 0x1A2B3C4D, 1, 0, -1))
+    data += block(1, struct.pack("<HHI", 1, 0, 0) + struct.pack("<HHB3x", 9, 1, 9) + struct.pack("<HH", 0, 0))
+    data += block(6, struct.pack("<IIIII", 0, t >> 32, t & 0xFFFFFFFF, len(FRAMES[0]), len(FRAMES[0])) + FRAMES[0])
+    (tmp_path / "n.pcapng").write_bytes(data)
+    assert [r.ts_us for r in captures.decode_captures(spark, str(tmp_path)).collect()] == [1_700_000_000_123_456]
+
+
+def test_many_files_are_many_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    for i in range(40):
+        (tmp_path / f"c{i}.pcap").write_bytes(pcap())
+    packets = captures.decode_captures(spark, str(tmp_path), split_packets=2)
+    tasks = packets.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert packets.count() == 40 * len(WANT) and tasks > 10
