@@ -382,9 +382,6 @@ class MarkedPackets:
 
 def mark_flows(packets: DataFrame, cfg: FlowConfig = FlowConfig()) -> MarkedPackets:
     keyed = with_key(packets)
-    # A connection can only be oversized if the table is; the count reads no columns.
-    if packets.count() <= cfg.heavy_packets:
-        return MarkedPackets(_ordinary(keyed, cfg), None)
     heavy = materialize(
         keyed.groupBy(*KEY).count().where(F.col("count") > cfg.heavy_packets).select(*KEY), "heavy"
     )

@@ -79,18 +79,21 @@ def binary_target(df: DataFrame, label: str = "binary_label") -> DataFrame:
 
 
 def truth_target(df: DataFrame) -> Column:
-    """1 for malicious, from the first truth column present."""
-    rules = {
-        "Binary_Label": lambda c: F.upper(c) == "MALICIOUS",
-        "Expected_Verdict": lambda c: F.upper(c) != "BENIGN",
-        "Is_Malicious": lambda c: c.cast("int") == 1,
-        "Label": lambda c: F.upper(c) != "BENIGN",
-        "label": lambda c: F.upper(c) != "BENIGN",
-    }
-    for name, rule in rules.items():
-        if name in df.columns:
-            text = F.col(name).cast("string")
-            return F.when(rule(text), 1).when(text.isNull() & (name not in ("Binary_Label", "Is_Malicious")), 1).otherwise(0)
+    """1 for malicious, from the first truth column present. Names are compared as text; `Is_Malicious` may be boolean, a
+    number (cut to an integer) or text holding one. A missing name is malicious, but a missing `Binary_Label` or
+    `Is_Malicious` is not."""
+    types = dict(df.dtypes)
+    for name, benign in (("Binary_Label", None), ("Expected_Verdict", "BENIGN"), ("Is_Malicious", None), ("Label", "BENIGN"), ("label", "BENIGN")):
+        if name not in df.columns:
+            continue
+        value = F.col(name)
+        if name == "Is_Malicious":
+            number = value.cast("int") if types[name] == "boolean" else value.try_cast("double").try_cast("int")
+            bad = number == 1
+        else:
+            text = F.upper(value.cast("string"))
+            bad = text == "MALICIOUS" if benign is None else text.isNull() | (text != benign)
+        return F.when(bad, 1).otherwise(0)
     raise ValueError("no truth column found")
 
 

@@ -1,7 +1,7 @@
 """Binary and multiclass metrics, score curves and threshold calibration.
 
 All groups are measured in one job. Curves first collapse to one row per score; running counts are
-taken inside score buckets and shifted by the totals of the buckets above, so that no window spans
+taken inside ranges of scores and shifted by the totals of the ranges above, so that no window spans
 all scores.
 """
 
@@ -10,7 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BUCKETS = 1 << 12
+from flowspark.session import materialize
+
+#: Ranges of distinct scores that running counts are taken in.
+_BUCKETS = 64
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -41,22 +44,34 @@ def binary_metrics(df: DataFrame, y: str, pred: str, by: list[str] = ()) -> Data
 
 
 def score_counts(df: DataFrame, y: str, prob: str, by: list[str] = ()) -> DataFrame:
-    """Per score the positives and negatives at it and at or above it."""
+    """Per score the positives and negatives at it and at or above it. Rows without a score do not count; null is a group
+    like any other.
+
+    Distinct scores are dealt by ranges of equal numbers of scores, however close they lie together, and each range's
+    running counts are moved on by the totals of the ranges above.
+    """
     by = list(by)
-    at = df.groupBy(*by, F.col(prob).alias("threshold")).agg(
-        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")
-    ).withColumn("_bucket", F.floor(F.col("threshold") * _BUCKETS))
-    totals = at.groupBy(*by, "_bucket").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
-    above = Window.partitionBy(*by or [F.lit(0)]).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by or [F.lit(0)])
+    at = materialize(df.where(F.col(prob).isNotNull() & ~F.isnan(prob)).groupBy(*by, F.col(prob).alias("threshold")).agg(
+        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")), "scores")
+    # Ends of the ranges: at most _BUCKETS numbers from a bounded quantile sketch. They steer the work, not the result.
+    ends = at.agg(F.percentile_approx("threshold", [i / _BUCKETS for i in range(1, _BUCKETS)], 10 * _BUCKETS)).first()[0] or []
+    at = at.withColumn("_bucket", F.size(F.filter(F.array(*[F.lit(e) for e in sorted(set(ends))]).cast("array<double>"),
+                                                  lambda e: e <= F.col("threshold"))))
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_k{i}") for i, c in enumerate(by)] \
+        + [F.col(c).isNull().alias(f"_n{i}") for i, c in enumerate(by)]
+    names = [f"_k{i}" for i in range(len(by))] + [f"_n{i}" for i in range(len(by))]
+    at = at.select("*", *keys)
+    totals = at.groupBy(*names, "_bucket").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
+    above = Window.partitionBy(*names or [F.lit(0)]).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*names or [F.lit(0)])
     offsets = totals.select(
-        *by, "_bucket",
+        *names, "_bucket",
         F.coalesce(F.sum("_pos").over(above), F.lit(0)).alias("_tp0"),
         F.coalesce(F.sum("_neg").over(above), F.lit(0)).alias("_fp0"),
         F.sum("_pos").over(whole).alias("n_pos"), F.sum("_neg").over(whole).alias("n_neg"),
     )
-    w = Window.partitionBy(*by, "_bucket").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    return at.join(offsets, [*by, "_bucket"]).select(
+    w = Window.partitionBy(*names, "_bucket").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    return at.join(offsets, [*names, "_bucket"]).select(
         *by, "threshold", "pos", "neg",
         (F.col("_tp0") + F.sum("pos").over(w)).alias("tp"),
         (F.col("_fp0") + F.sum("neg").over(w)).alias("fp"), "n_pos", "n_neg",
@@ -92,6 +107,15 @@ def average_precision(df: DataFrame, y: str, prob: str, by: list[str] = ()) -> D
     return c.groupBy(*by).agg(F.when(n > 0, total / n).alias("average_precision"))
 
 
+def areas(df: DataFrame, y: str, prob: str, by: list[str] = ()) -> DataFrame:
+    """Area under ROC and average precision from one table of scores. Null when the class they need is absent."""
+    c = score_counts(df, y, prob, by)
+    area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0))
+    precise = F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
+    n_pos, n = F.first("n_pos"), F.first("n_pos").cast("double") * F.first("n_neg")
+    return c.groupBy(*by).agg(F.when(n > 0, area / n).alias("roc_auc"), F.when(n_pos > 0, precise / n_pos).alias("average_precision"))
+
+
 def _clamp(threshold: Column) -> Column:
     return F.greatest(F.lit(0.35), F.least(F.lit(0.65), threshold))
 

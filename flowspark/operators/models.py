@@ -10,18 +10,25 @@ from pyspark.ml.classification import (
     GBTClassificationModel, GBTClassifier, RandomForestClassificationModel, RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowspark.functions.schema import FEATURES
 from flowspark.operators import isolation, metrics, sampling, score
-from flowspark.operators.normalize import feature_matrix
+from flowspark.operators.labels import binary_target
+from flowspark.operators.normalize import feature_matrix, fill_category, split_group
 from flowspark.session import materialize
 
 
 @dataclass(frozen=True)
 class TrainConfig:
-    """Model sizes and split of a training run."""
+    """Model sizes and split of a training run.
+
+    `held_out` families never train. `capture_datasets` are split by whole captures where both classes have two at least
+    (None: every dataset that allows it); the rest is split by rows. `fit_rows` bounds the rows the tree models are
+    fitted on, per class (None: all): the nodes of deep forests are kept on the driver and grow with the rows. The
+    anomaly model needs more than `anomaly_from` benign training rows.
+    """
 
     rf_trees: int = 200
     rf_depth: int = 25
@@ -32,8 +39,11 @@ class TrainConfig:
     test: float = 0.20
     val: float = 0.10
     threshold_method: str = "f1"
-    isolation_rows: int = 50_000
     isolation_trees: int = 100
+    held_out: tuple[str, ...] = ()
+    capture_datasets: tuple[str, ...] | None = ("USTC-TFC2016",)
+    fit_rows: int | None = None
+    anomaly_from: int = 100
     seed: int = 42
 
 
@@ -63,12 +73,24 @@ def scaled_vector(scaler: dict[str, tuple[float, float]]) -> Column:
     return array_to_vector(F.array(*[_scaled(c, scaler) for c in scaler]))
 
 
+def label_codes(df: DataFrame, label: str, out: str = "label") -> DataFrame:
+    """(class, code): classes in sorted order from 0."""
+    found = df.where(F.col(label).isNotNull()).select(label).distinct()
+    return materialize(found.withColumn(out, F.dense_rank().over(Window.orderBy(label)) - 1), "classes")
+
+
 def label_classes(df: DataFrame, label: str) -> list[str]:
-    """Classes in sorted order; a handful of names."""
-    return [r[0] for r in df.where(F.col(label).isNotNull()).select(label).distinct().orderBy(label).collect()]
+    """Classes in sorted order for a classifier, which has a handful; more than a thousand are an error."""
+    found = [r[0] for r in df.where(F.col(label).isNotNull()).select(label).distinct().orderBy(label).limit(1001).collect()]
+    if len(found) > 1000:
+        raise ValueError(f"column {label} has more than 1000 classes")
+    return found
 
 
-def encode_labels(df: DataFrame, label: str, classes: list[str], out: str = "label") -> DataFrame:
+def encode_labels(df: DataFrame, label: str, classes: list[str] | DataFrame, out: str = "label") -> DataFrame:
+    """Code of each row's class, null if unknown. Classes: names in order, or a table by label_codes (joined)."""
+    if isinstance(classes, DataFrame):
+        return df.join(classes, label, "left")
     codes = F.create_map(*[F.lit(x) for i, c in enumerate(classes) for x in (c, i)])
     return df.withColumn(out, codes[F.col(label)])
 
@@ -148,13 +170,8 @@ class Detector:
 
         `ood` raises the risk of benign flows with an unusual pattern.
         """
-        names = list(self.scaler)
-        if names == FEATURES:
-            rows = df.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-            matrix = feature_matrix(rows, strict, keep=["_row"])
-        else:
-            rows = df.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-            matrix = rows.select("_row", *names)
+        rows = df.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+        matrix = feature_matrix(rows, strict, keep=["_row"], names=list(self.scaler))
         out = matrix.select("_row", scaled_vector(self.scaler).alias("features"))
         out = score.verdicts(malicious_prob(self.model, out), "prob", self.threshold)
         threat = F.col("prob") >= self.threshold
@@ -210,27 +227,82 @@ def fit_family(df: DataFrame, category: str, features: str, cfg: TrainConfig):
     return fit_forest(encoded, "family_label", features, cfg), classes
 
 
+def training_table(df: DataFrame, row_id: str, strict: bool = False) -> DataFrame:
+    """A labeled flow table as `train` takes it: the 65 features clean and in order, target, attack_category, split_group
+    and the label columns; nothing that a model must not see is left among the features."""
+    df = binary_target(df.withColumnRenamed("Binary_Label", "binary_label"))
+    df = fill_category(df, "Attack_Category", F.col("target") == 1)
+    df = split_group(df.withColumnsRenamed({"Capture_ID": "capture_id", "Dataset": "dataset"}), row_id)
+    if "dataset" not in df.columns:
+        df = df.withColumn("dataset", F.lit("Unknown"))
+    keep = [c for c in (row_id, "dataset", "split_group", "Specific_Family", "target", "attack_category") if c in df.columns]
+    return feature_matrix(df, strict, keep=keep)
+
+
+def split_plan(df: DataFrame, row_id: str, dataset: str, group: str, target: str, cfg: TrainConfig = TrainConfig()) -> DataFrame:
+    """`split` of every row: by whole captures in datasets that allow it, else by rows; classes alike in all splits."""
+    allowed = sampling.capture_split_possible(df, dataset, group, target).where("by_capture").select(dataset)
+    if cfg.capture_datasets is not None:
+        allowed = allowed.where(F.col(dataset).isin(list(cfg.capture_datasets)))
+    allowed = materialize(allowed.withColumnRenamed(dataset, "_d"), "by_capture")
+    same = F.col(dataset).eqNullSafe(F.col("_d"))
+    whole = sampling.capture_split(df.join(allowed, same, "left_semi"), dataset, group, target, cfg.test, cfg.val, cfg.seed)
+    rows = sampling.stratified_split(df.join(allowed, same, "left_anti"), [dataset, target], cfg.test, cfg.val, cfg.seed, row_id)
+    return whole.unionByName(rows)
+
+
 def train(df: DataFrame, features: list[str], target: str, category: str, row_id: str, by: list[str],
-          cfg: TrainConfig = TrainConfig()) -> tuple[Detector, DataFrame]:
-    """Split, fit both detectors, keep the better on validation, calibrate, fit family and anomaly models.
+          cfg: TrainConfig = TrainConfig(), group: str | None = None, family: str | None = None) -> tuple[Detector, DataFrame]:
+    """Hold families out, split, fit both detectors, keep the better on validation, calibrate, fit family and anomaly models.
 
-    Returns the detector and the rows with their split, features scaled.
+    `group` names the capture of a row; with it datasets (the first of `by`) are split as `split_plan` says. Returns the
+    detector and the rows with their split ('held_out' for rows of held-out families), features scaled.
     """
-    df = materialize(df.select(row_id, target, category, *by, *[F.col(f"`{c}`") for c in features]), "training")
-    split = sampling.stratified_split(df, [*by, target], cfg.test, cfg.val, cfg.seed, row_id)
+    labels = list(dict.fromkeys([row_id, target, category, *by, *[c for c in (group, family) if c]]))
+    df = materialize(df.select(*labels, *[F.col(f"`{c}`") for c in features]), "training")
+    held = df.where(F.col(family).isin(list(cfg.held_out))) if family and cfg.held_out else df.limit(0)
+    rest = df.where(~F.coalesce(F.col(family).isin(list(cfg.held_out)), F.lit(False))) if family and cfg.held_out else df
+    split = split_plan(rest, row_id, by[0], group, target, cfg) if group else \
+        sampling.stratified_split(rest, [*by, target], cfg.test, cfg.val, cfg.seed, row_id)
+    split = materialize(split.unionByName(held.withColumn("split", F.lit("held_out"))), "split")
     scaler = fit_scaler(split.where("split = 'train'"), features)
-    rows = split.select(row_id, target, category, "split", *by, scaled_vector(scaler).alias("features")).persist()
-    fit_rows = rows.where("split = 'train'").withColumn(target, F.col(target).cast("double"))
-    val_rows = rows.where("split = 'val'")
+    rows = materialize(split.select(*labels, "split", scaled_vector(scaler).alias("features")), "scaled")
+    counts = {r[0]: r[1] for r in rows.groupBy("split").count().collect()}
+    all_fit = rows.where("split = 'train'").withColumn(target, F.col(target).cast("double"))
+    fit_rows = all_fit if cfg.fit_rows is None else sampling.cap_per_class(all_fit, [target], cfg.fit_rows, cfg.seed, row_id)
     forest, boosted = fit_forest(fit_rows, target, "features", cfg), fit_boosted(fit_rows, target, "features", cfg)
-    both = malicious_prob(boosted, malicious_prob(forest, val_rows, "rf"), "gbt").select(target, "rf", "gbt").persist()
+    both = materialize(malicious_prob(boosted, malicious_prob(forest, rows.where("split = 'val'"), "rf"), "gbt").select(target, "rf", "gbt"), "val")
     picked = metrics.better_model(both, target, {"GBT": "gbt", "RF": "rf"}, "GBT").where("chosen").first()["model"]
     threshold = metrics.calibrate(both, target, picked.lower(), cfg.threshold_method).first()["threshold"]
     attack_model, classes = fit_family(fit_rows.where(F.col(target) == 1), category, "features", cfg)
-    trees = isolation.fit(
-        fit_rows.where(F.col(target) == 0).select(row_id, vector_to_array("features").alias("x")), row_id, "x",
-        cfg.isolation_trees, cfg.isolation_rows, cfg.seed,
-    )
-    model = boosted if picked == "GBT" else forest
-    info = {"train_rows": fit_rows.count(), "val_rows": val_rows.count(), "test_rows": rows.where("split = 'test'").count()}
-    return Detector(scaler, model, picked, threshold, attack_model, classes, trees, info), rows
+    calm = all_fit.where(F.col(target) == 0).select(row_id, vector_to_array("features").alias("x"))
+    trees = isolation.fit(calm, row_id, "x", cfg.isolation_trees, cfg.seed) if calm.count() > cfg.anomaly_from else None
+    info = {f"{name}_rows": counts.get(name, 0) for name in ("train", "val", "test", "held_out")}
+    return Detector(scaler, boosted if picked == "GBT" else forest, picked, threshold, attack_model, classes, trees, info), rows
+
+
+def run_metrics(detector: Detector, rows: DataFrame, target: str, category: str, dataset: str, family: str | None = None) -> DataFrame:
+    """Metrics of a training run, one row each: the test rows, test rows per dataset, held-out rows per family."""
+    scored = malicious_prob(detector.model, rows.where("split IN ('test', 'held_out')")) \
+        .withColumn("_pred", (F.col("prob") >= detector.threshold).cast("int"))
+    held = F.col("split") == "held_out"
+    scopes = [F.struct(F.when(~held, "test").alias("scope"), F.lit("all").alias("name")),
+              F.struct(F.when(~held, "dataset").alias("scope"), F.col(dataset).cast("string").alias("name"))]
+    if family:
+        scopes.append(F.struct(F.when(held, "held_out_family").alias("scope"), F.col(family).cast("string").alias("name")))
+    long = materialize(scored.select(target, "prob", "_pred", F.explode(F.array(*scopes)).alias("s")).select(target, "prob", "_pred", "s.*")
+                       .where("scope IS NOT NULL"), "scored")
+    rates = metrics.binary_metrics(long, target, "_pred", ["scope", "name"])
+    areas = metrics.areas(long, target, "prob", ["scope", "name"]).withColumnsRenamed({"scope": "_s", "name": "_n"})
+    return rates.join(areas, rates["scope"].eqNullSafe(F.col("_s")) & rates["name"].eqNullSafe(F.col("_n")), "left").drop("_s", "_n")
+
+
+def family_metrics(detector: Detector, rows: DataFrame, target: str, category: str) -> DataFrame | None:
+    """Accuracy and F1 of the family classifier on malicious test rows of classes it knows; None without one."""
+    if detector.attack_model is None:
+        return None
+    known = rows.where((F.col("split") == "test") & (F.col(target) == 1) & F.col(category).isin(detector.attack_classes))
+    names = F.array(*[F.lit(c) for c in detector.attack_classes])
+    said = probabilities(detector.attack_model, known, "_p").withColumn(
+        "_said", F.element_at(names, F.array_position("_p", F.array_max("_p")).cast("int")))
+    return metrics.multiclass_f1(said, category, "_said")

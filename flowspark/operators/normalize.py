@@ -137,13 +137,13 @@ def constant_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     }).where(F.col("low").eqNullSafe(F.col("high")))
 
 
-def feature_matrix(df: DataFrame, strict: bool = False, keep: list[str] = ()) -> DataFrame:
-    """The 65 features in model order as finite doubles; absent or bad values are 0."""
+def feature_matrix(df: DataFrame, strict: bool = False, keep: list[str] = (), names: list[str] = FEATURES) -> DataFrame:
+    """The 65 features (or `names`) in model order as finite doubles; absent or bad values are 0."""
     check_schema(df, strict) if strict else None
     df = normalize(df)
     have = set(df.columns)
     return df.select(*keep, *[
-        (clean_number(number(f)) if f in have else F.lit(0.0)).alias(f) for f in FEATURES
+        (clean_number(number(f)) if f in have else F.lit(0.0)).alias(f) for f in names
     ])
 
 

@@ -47,17 +47,24 @@ def _cuts(hist: DataFrame, by: list[str], limits: dict[str, Column]) -> DataFram
         *by, *[F.col(n)[f].alias(a) for n in limits for f, a in (("b", n), ("left", f"{n}_left"))]), "cuts")
 
 
+def _with_cuts(rows: DataFrame, cuts: DataFrame, by: list[str]) -> DataFrame:
+    """rows with their class's cuts; null is a class like any other."""
+    named = cuts.withColumnsRenamed({c: f"_by{i}" for i, c in enumerate(by)})
+    same = F.lit(True)
+    for i, c in enumerate(by):
+        same = same & rows[c].eqNullSafe(named[f"_by{i}"])
+    return rows.join(named, same, "left").drop(*[f"_by{i}" for i in range(len(by))])
+
+
 def _keep_first(rows: DataFrame, by: list[str], limit: Column, order: list[str]) -> DataFrame:
-    """The first `limit` rows of each class by bucket `_b`, then `order`."""
+    """The first `limit` rows of each class by bucket `_b`, then `order`; only the bucket the cut falls in is ranked."""
     cut = _cuts(_histogram(rows, by), by, {"_cut": limit})
+    near = _with_cuts(rows, cut, by).where(limit > 0)
+    clear = near.where(F.col("_cut").isNull() | (F.col("_b") < F.col("_cut")))  # no cut: the class is small
     w = Window.partitionBy(*by, "_b").orderBy(*order)
-    near = rows.join(cut, by, "left").where(
-        (limit > 0) & (F.col("_cut").isNull() | (F.col("_b") <= F.col("_cut")))
-    )
-    ranked = near.withColumn("_rn", F.row_number().over(w))
-    return ranked.where(
-        F.col("_cut").isNull() | (F.col("_b") < F.col("_cut")) | (F.col("_rn") <= F.col("_cut_left"))
-    ).drop("_h", "_b", "_cut", "_cut_left", "_rn")
+    edge = near.where(F.col("_b") == F.col("_cut")).withColumn("_rn", F.row_number().over(w)) \
+        .where(F.col("_rn") <= F.col("_cut_left")).drop("_rn")
+    return clear.unionByName(edge).drop("_h", "_b", "_cut", "_cut_left")
 
 
 def keep_lowest(df: DataFrame, by: list[str], limit: Column, seed, row_id: str) -> DataFrame:
@@ -142,7 +149,7 @@ def stratified_split(df: DataFrame, by: list[str], test: float, val: float, seed
     hist = _histogram(rows, by)
     n_test = F.ceil(F.col("_total") * test)
     n_val = F.ceil((F.col("_total") - n_test) * (val / (1 - test)))
-    rows = rows.join(_cuts(hist, by, {"_t": n_test, "_v": n_test + n_val}), by, "left")
+    rows = _with_cuts(rows, _cuts(hist, by, {"_t": n_test, "_v": n_test + n_val}), by)
     inner = (F.col("_b") == F.col("_t")) | (F.col("_b") == F.col("_v"))
     clear = rows.where(~F.coalesce(inner, F.lit(False))).withColumn("split", F.when(
         F.col("_b") < F.col("_t"), "test").when(F.col("_b") < F.col("_v"), "val").otherwise("train"))
@@ -157,7 +164,7 @@ def stratified_split(df: DataFrame, by: list[str], test: float, val: float, seed
 
 
 def capture_split(df: DataFrame, dataset: str, capture: str, label: str, test: float, val: float, seed) -> DataFrame:
-    """Whole captures of each class go to one split, ceil(test*n) captures to test."""
+    """Whole captures of each class go to one split, ceil(test*n) captures to test. Null names a group like any other."""
     captures = df.select(dataset, capture, label).distinct()
     w = Window.partitionBy(dataset, label)
     ranked = captures.withColumns({
@@ -168,7 +175,7 @@ def capture_split(df: DataFrame, dataset: str, capture: str, label: str, test: f
     n_val = F.ceil((F.col("_n") - n_test) * (val / (1 - test)))
     which = ranked.select(dataset, capture, label, F.when(F.col("_rank") <= n_test, "test").when(
         F.col("_rank") <= n_test + n_val, "val").otherwise("train").alias("split"))
-    return df.join(which, [dataset, capture, label])
+    return _with_cuts(df, which, [dataset, capture, label])
 
 
 def capture_split_possible(df: DataFrame, dataset: str, capture: str, label: str) -> DataFrame:

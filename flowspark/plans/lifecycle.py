@@ -31,25 +31,37 @@ def _capped(df: DataFrame, by: list[str], cap: int | None, seed: int) -> DataFra
     return sampling.cap_per_class(rows, by, cap, seed, "_id").drop("_id")
 
 
-def load_labeled_csv(spark: SparkSession, path: str, cap: int | None = None, seed: int = 42) -> DataFrame:
-    """Labeled flow CSVs in Windows-1252: canonical headers, verdict and category, only rows of finite numbers."""
-    df = tables.scan_dir(spark, path, "*.csv", encoding="iso-8859-1")
+def _labeled(df: DataFrame) -> DataFrame | None:
+    """Rows of one header with canonical names, verdict and category; None if the files have no label."""
     df = df.toDF(*[c.strip() for c in df.columns]).withColumnRenamed("capture_id", "Capture_ID").withColumn("Dataset", F.lit(CICIDS))
     if "Attack_Category" in df.columns:
-        out = labels.passthrough_label(df.withColumn("Original_Label", F.col("Attack_Category")), "Attack_Category")
-        return _capped(out.withColumnsRenamed(_LABEL_NAMES), ["Original_Label"], cap, seed)
+        return labels.passthrough_label(df.withColumn("Original_Label", F.col("Attack_Category")), "Attack_Category").withColumnsRenamed(_LABEL_NAMES)
     found = [c for c in df.columns if c.lower() == "label"]
     if not found:
-        raise ValueError(f"no label column in {path}")
+        return None
     df = df.withColumn(found[0], tables.from_cp1252(F.col(found[0])))
     df = nz.normalize(df.withColumnRenamed(found[0], "Original_Label"))
     numeric = [c for c in df.columns if c not in METADATA]
     df = labels.exact_label(nz.drop_constant(nz.drop_invalid_rows(df, numeric)), "Original_Label")
-    return _capped(df.withColumnsRenamed(_LABEL_NAMES), ["Original_Label"], cap, seed)
+    return df.withColumnsRenamed(_LABEL_NAMES)
+
+
+def load_labeled_csv(spark: SparkSession, path: str, cap: int | None = None, seed: int = 42) -> DataFrame:
+    """Labeled flow CSVs in Windows-1252: canonical headers, verdict and category, only rows of finite numbers.
+
+    Files may differ in their columns and their order; labeled and prelabeled ones meet by name, those without a label
+    are skipped. At most `cap` rows per label if given.
+    """
+    frames = [f for f in map(_labeled, tables.scan_by_header(spark, path, "*.csv", "iso-8859-1")) if f is not None]
+    if not frames:
+        raise ValueError(f"no label column in {path}")
+    numbers = {c for f in frames for c, t in f.dtypes if t == "double"}
+    frames = [f.withColumns({c: nz.number(c) for c in f.columns if c in numbers}) for f in frames]
+    return _capped(sampling.combine(frames), ["Original_Label"], cap, seed)
 
 
-def load_doh(spark: SparkSession, path: str, cap: int | None = 25_000, seed: int = 42) -> DataFrame:
-    """DoH statistics as flow features: benign HTTPS of level 1, everything of level 2."""
+def load_doh(spark: SparkSession, path: str, cap: int | None = None, seed: int = 42) -> DataFrame:
+    """DoH statistics as flow features: benign HTTPS of level 1, everything of level 2; at most `cap` rows per class if given."""
     level1 = spark.read.parquet(f"{path}/{DOH_LEVEL1}").where(F.col("Label") == "NonDoH")
     level2 = spark.read.parquet(f"{path}/{DOH_LEVEL2}").withColumn("_bad", F.lower("Label") == "malicious")
     level1, level2 = _capped(level1, ["Label"], cap, seed), _capped(level2, ["_bad"], cap, seed).drop("_bad")
@@ -89,5 +101,8 @@ def evaluate(scored: DataFrame, by: list[str] = (), listed: dict[str, list[str]]
     if not by:
         rows, by = rows.withColumn("group", F.lit("all")), ["group"]
     rates = metrics.binary_metrics(rows, "_y", "_pred", by)
-    auc = metrics.roc_auc(rows, "_y", "_prob", by)
-    return rates.join(auc, by, "left").join(metrics.average_precision(rows, "_y", "_prob", by), by, "left")
+    areas = metrics.areas(rows, "_y", "_prob", by).withColumnsRenamed({c: f"_{c}" for c in by})
+    same = F.lit(True)
+    for c in by:
+        same = same & rates[c].eqNullSafe(areas[f"_{c}"])
+    return rates.join(areas, same, "left").drop(*[f"_{c}" for c in by])

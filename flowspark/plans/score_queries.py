@@ -8,6 +8,7 @@ from flowspark.operators import metrics as mx
 from flowspark.operators import reports, sampling, score
 from flowspark.operators import features as fx
 from flowspark.operators import models
+from flowspark.operators import normalize as nz
 from flowspark.plans.flow_queries import CFG, _LENGTHS, _flow_rows
 from flowspark.plans.registry import query, rounded
 from flowspark.plans.views import duck, table, view
@@ -36,6 +37,14 @@ def sample_cap_per_class(spark, sf):
     return sampling.cap_per_class(rows, ["category"], 500, SEED, "row_id")
 
 
+@query("sample_cap_null_class", _S.rstrip() + ", a AS (SELECT row_id, nullif(category, 'DoS') AS category FROM scored) "
+       + _lowest("a", "category", "300", SEED, "row_id, category"))
+def sample_cap_null_class(spark, sf):
+    """A missing class is capped like any other."""
+    rows = view(spark, sf, "scored").select("row_id", F.nullif("category", F.lit("DoS")).alias("category"))
+    return sampling.cap_per_class(rows, ["category"], 300, SEED, "row_id")
+
+
 @query("sample_two_level", _S.rstrip() + ", a AS (" + _lowest("scored", "capture_id, category", "150", "42a", "row_id, capture_id, category")
        + ") " + _lowest("a", "category", "CASE WHEN category = 'Malware' THEN 900 ELSE 400 END", "42b", "row_id, capture_id, category"))
 def sample_two_level(spark, sf):
@@ -125,6 +134,37 @@ def split_by_capture(spark, sf):
     return sampling.capture_split(_captures(spark, sf), "dataset", "capture_id", "y_true", 0.2, 0.1, SEED)
 
 
+_GROUPS = _S.rstrip() + """, c AS (SELECT row_id, nullif(dataset, '1-URGENT') AS dataset, y_true, coalesce(CASE WHEN row_id % 3 <> 0
+ THEN concat(capture_id, '-', y_true) END, nullif(dataset, '1-URGENT'), cast(row_id AS VARCHAR)) AS split_group FROM scored),
+k AS (SELECT dataset, split_group, y_true, row_number() OVER (PARTITION BY dataset, y_true ORDER BY """ + _h(SEED, "split_group") + """, split_group) AS rn,
+ count(*) OVER (PARTITION BY dataset, y_true) AS n FROM (SELECT DISTINCT dataset, split_group, y_true FROM c)),
+g AS (SELECT c.*, """ + _SPLIT_CASE + """ FROM c JOIN k ON c.dataset IS NOT DISTINCT FROM k.dataset AND c.split_group = k.split_group
+ AND c.y_true = k.y_true) """
+
+
+def _grouped(spark, sf):
+    rows = view(spark, sf, "scored").select(
+        "row_id", F.nullif("dataset", F.lit("1-URGENT")).alias("dataset"), "y_true",
+        F.when(F.col("row_id") % 3 != 0, F.concat_ws("-", "capture_id", "y_true")).alias("capture_id"))
+    return nz.split_group(rows, "row_id").drop("capture_id")
+
+
+@query("split_by_capture_group", _GROUPS + "SELECT * FROM g")
+def split_by_capture_group(spark, sf):
+    """Rows without a capture go with their dataset, rows without either alone; no row is lost."""
+    return sampling.capture_split(_grouped(spark, sf), "dataset", "split_group", "y_true", 0.2, 0.1, SEED)
+
+
+@query("train_split_plan", _GROUPS.rstrip() + """, s AS (SELECT row_id, dataset, y_true, split_group, """ + _SPLIT_CASE + """ FROM (SELECT *, row_number() OVER
+ (PARTITION BY dataset, y_true ORDER BY """ + _h(SEED) + """, row_id) AS rn, count(*) OVER (PARTITION BY dataset, y_true) AS n FROM c))
+SELECT row_id, dataset, y_true, split_group, split FROM g WHERE dataset IN ('2-HIGH', '5-LOW')
+UNION ALL SELECT row_id, dataset, y_true, split_group, split FROM s WHERE coalesce(dataset, '') NOT IN ('2-HIGH', '5-LOW')""")
+def train_split_plan(spark, sf):
+    """Which split each row of a training table gets: two datasets by whole captures, the others by rows."""
+    cfg = models.TrainConfig(capture_datasets=("2-HIGH", "5-LOW"), seed=SEED)
+    return models.split_plan(_grouped(spark, sf), "row_id", "dataset", "split_group", "y_true", cfg)
+
+
 @query("split_by_capture_possible", _CAP + """SELECT dataset, min(n) >= 2 AND count(*) = 2 AS by_capture FROM (SELECT dataset, y_true,
  count(DISTINCT capture_id) AS n FROM c GROUP BY dataset, y_true) GROUP BY dataset""")
 def split_by_capture_possible(spark, sf):
@@ -318,9 +358,20 @@ def average_precision(spark, sf):
  count(*) FILTER (y_true = 1) AS pos, count(*) FILTER (y_true = 0) AS neg FROM scored GROUP BY dataset, prob)
  WINDOW w AS (PARTITION BY dataset ORDER BY threshold DESC)) GROUP BY dataset""")
 def curves_per_dataset(spark, sf):
-    rows = view(spark, sf, "scored")
-    auc = mx.roc_auc(rows, "y_true", "prob", ["dataset"])
-    return rounded(auc.join(mx.average_precision(rows, "y_true", "prob", ["dataset"]), "dataset"))
+    return rounded(mx.areas(view(spark, sf, "scored"), "y_true", "prob", ["dataset"]))
+
+
+@query("curves_null_group", _S + """SELECT grp, round(sum(neg * (tp - pos / 2.0)) / (max(np)::DOUBLE * max(nn)), 6) AS roc_auc,
+ round(sum(pos * (tp / (tp + fp))) / max(np), 6) AS average_precision FROM (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp,
+ sum(pos) OVER (PARTITION BY grp) AS np, sum(neg) OVER (PARTITION BY grp) AS nn FROM (SELECT grp, score AS threshold,
+ count(*) FILTER (y_true = 1) AS pos, count(*) FILTER (y_true = 0) AS neg FROM (SELECT *, nullif(dataset, '1-URGENT') AS grp,
+ CASE WHEN row_id % 7 <> 0 THEN prob / 4096 END AS score FROM scored) WHERE score IS NOT NULL GROUP BY grp, score)
+ WINDOW w AS (PARTITION BY grp ORDER BY threshold DESC)) GROUP BY grp""")
+def curves_null_group(spark, sf):
+    """A null group, missing scores, and all scores in one narrow stretch."""
+    rows = view(spark, sf, "scored").select(
+        F.nullif("dataset", F.lit("1-URGENT")).alias("grp"), "y_true", F.when(F.col("row_id") % 7 != 0, F.col("prob") / 4096).alias("score"))
+    return rounded(mx.areas(rows, "y_true", "score", ["grp"]))
 
 
 _F1C = _CURVE.rstrip() + """, v AS (SELECT threshold, tp / np AS recall, fp / nn AS fpr,
@@ -465,7 +516,7 @@ def standard_scale(spark, sf):
 @query("label_index", _S + "SELECT row_id, category, dense_rank() OVER (ORDER BY category) - 1 AS label FROM scored")
 def label_index(spark, sf):
     rows = view(spark, sf, "scored").select("row_id", "category")
-    return models.encode_labels(rows, "category", models.label_classes(rows, "category"))
+    return models.encode_labels(rows, "category", models.label_codes(rows, "category"))
 
 
 @query("known_class_filter", _S + """SELECT row_id, category FROM scored WHERE category IN (SELECT category FROM scored WHERE capture_id = 'cap1'

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowspark.functions import schema as sc
-from flowspark.operators import labels, metrics
+from flowspark.operators import labels, metrics, sampling
 from flowspark.operators import normalize as nz
 from flowspark.plans.registry import query, rounded, values
 from flowspark.plans.views import duck, view
@@ -37,6 +37,19 @@ def scan_dir_capture_id(spark, sf):
     return found.select("capture_id", "row_id", F.trim("raw_label").alias("label"))
 
 
+@query("scan_csv_mixed_headers", duck("raw_flows") + """SELECT "Dst Port" AS "Destination Port", "flow_duration" AS "Flow Duration",
+ CASE WHEN "Label" <> 'N' THEN "Flow Byts/s" END AS "Flow Bytes/s", CASE WHEN "Label" = 'N' THEN "FWD PSH Flags " END AS "Fwd PSH Flags",
+ "Label" FROM raw_flows""")
+def scan_csv_mixed_headers(spark, sf):
+    """Two layouts in one folder: columns in another order, one missing, one more."""
+    raw, path = view(spark, sf, "raw_flows"), scratch_path(spark, "csv")
+    raw = raw.select("Dst Port", "flow_duration", "Flow Byts/s", "FWD PSH Flags ", "Label")
+    tables.write_csv(raw.where("Label <> 'N'").drop("FWD PSH Flags "), f"{path}/a")
+    tables.write_csv(raw.where("Label = 'N'").select("Label", "FWD PSH Flags ", "flow_duration", "Dst Port"), f"{path}/b")
+    frames = [nz.normalize(f.drop("capture_id")) for f in tables.scan_by_header(spark, path)]
+    return sampling.combine(frames).select("Destination Port", "Flow Duration", "Flow Bytes/s", "Fwd PSH Flags", "Label")
+
+
 @query("scan_parquet_projection", "SELECT l_orderkey, l_suppkey, l_quantity FROM lineitem WHERE l_quantity > 40")
 def scan_parquet_projection(spark, sf):
     return tables.scan_parquet(spark, f"{sf}/lineitem.parquet", ["l_orderkey", "l_suppkey", "l_quantity"], "l_quantity > 40")

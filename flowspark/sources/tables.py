@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,16 +30,18 @@ def is_utf8(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
 
 
 def scan_csv_any(spark: SparkSession, path: str, glob: str = "*.csv", columns: list[str] | None = None) -> DataFrame:
-    """CSV files of mixed encodings: utf-8 where valid, latin-1 otherwise.
+    """CSV files of mixed encodings and headers: utf-8 where valid, latin-1 otherwise; columns meet by name.
 
-    Only file names come to the driver, which lists them for any scan.
+    Only file names and headers come to the driver, which lists the files for any scan.
     """
-    kinds = is_utf8(spark, path, glob).collect()
-    parts = []
-    for encoding, want in (("utf-8", True), ("iso-8859-1", False)):
-        files = [r["file"] for r in kinds if r["utf8"] == want]
-        if files:
-            parts.append(scan_csv(spark, files, encoding, columns=columns))
+    kinds = is_utf8(spark, path, glob)
+    headers = file_headers(spark, path, glob).withColumnRenamed("path", "file")
+    listed = kinds.join(headers, F.regexp_replace(kinds["file"], "^file:/+", "/") == F.regexp_replace(headers["file"], "^file:/+", "/")) \
+        .groupBy("utf8", "header").agg(F.collect_list(kinds["file"]).alias("files")).orderBy("utf8", "header").collect()
+    return _by_name([scan_csv(spark, sorted(r["files"]), "utf-8" if r["utf8"] else "iso-8859-1", columns=columns) for r in listed])
+
+
+def _by_name(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
@@ -68,6 +74,41 @@ def scan_dir(spark: SparkSession, path: str, glob: str = "*.csv", capture: Colum
     return df.select("*", (capture if capture is not None else file_name()).alias("capture_id"))
 
 
+def file_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+    """(path, header) of every file below a folder, or of one file: the first line alone is fetched, one task per few files."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select("path")
+    tasks = max(1, min(found.count(), 10_000))
+
+    def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for name in pdf["path"]:
+                system, local = fs.FileSystem.from_uri(name)
+                with system.open_input_file(local) as f:
+                    line = b""
+                    while b"\n" not in line and (more := f.read(1 << 16)):
+                        line += more
+                rows.append((name, line.split(b"\n", 1)[0].rstrip(b"\r").removeprefix(b"\xef\xbb\xbf").decode("latin-1")))
+            yield pd.DataFrame(rows, columns=["path", "header"])
+
+    return found.repartition(tasks).mapInPandas(first_lines, "path string, header string")
+
+
+def scan_by_header(spark: SparkSession, path: str, glob: str = "*.csv", encoding: str = "utf-8",
+                   capture: Column | None = None) -> list[DataFrame]:
+    """CSV files below a folder, one frame for each distinct header, each row tagged with its file.
+
+    Spark reads the columns of one scan by position, so files whose columns differ in name or order may not share one.
+    Only the listing of files and their headers comes to the driver.
+    """
+    groups = file_headers(spark, path, glob).where("header <> ''").groupBy("header").agg(F.collect_list("path").alias("paths"))
+    frames = []
+    for row in groups.orderBy("header").collect():
+        df = spark.read.option("header", True).option("encoding", encoding).csv(sorted(row.paths))
+        frames.append(df.select("*", (capture if capture is not None else file_name()).alias("capture_id")))
+    return frames
+
+
 def scan_parquet(spark: SparkSession, path: str, columns: list[str], where: str | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return (df.where(where) if where else df).select(*columns)

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from flowspark.operators import metrics as mx
 
@@ -47,3 +48,20 @@ def test_multiclass(spark):
     df = spark.createDataFrame([("a", "a"), ("a", "b"), ("b", "b"), ("c", "d")], "y string, p string")
     r = mx.multiclass_f1(df, "y", "p").first()
     assert r.accuracy == 0.5 and r.macro_f1 == pytest.approx((2 / 3 + 2 / 3) / 4) and r.weighted_f1 == pytest.approx((2 / 3 * 2 + 2 / 3) / 4)
+
+
+def test_scores_crowded_together_are_dealt_evenly(spark):
+    """99 % of the scores below 1/4096: no range of scores holds more than a few hundredths of them."""
+    n = 20_000
+    rows = spark.range(n).select((F.col("id") % 2).alias("y"), F.when(F.col("id") % 100 == 0, F.col("id") / n).otherwise(F.col("id") / n / 4096).alias("p"))
+    counted = mx.score_counts(rows, "y", "p")
+    assert counted.count() == rows.select("p").distinct().count()
+    top = counted.orderBy(F.desc("tp")).first()
+    assert (top.tp, top.fp) == (n // 2, n // 2)
+    assert "_bucket" not in counted.columns
+
+
+def test_null_groups_and_scores(spark):
+    rows = spark.createDataFrame([(None, 1, 0.9), (None, 0, 0.1), ("a", 1, 0.2), ("a", 0, 0.3), ("a", 1, None)], "g string, y int, p double")
+    got = {r.g: (r.roc_auc, r.average_precision) for r in mx.areas(rows, "y", "p", ["g"]).collect()}
+    assert got == {None: (1.0, 1.0), "a": (0.0, 0.5)}

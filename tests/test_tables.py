@@ -95,3 +95,49 @@ def test_mixed_encodings(spark, tmp_path):
 def test_union_fills_missing_columns(spark):
     out = sampling.combine([spark.createDataFrame([(1,)], "a int"), spark.createDataFrame([(2,)], "b int")])
     assert sorted(map(tuple, out.collect()), key=str) == [(1, None), (None, 2)]
+
+
+def test_headers_in_another_order_meet_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Flow Duration,Flow Bytes/s\n1,2\n")
+    (tmp_path / "b.csv").write_text("Flow Bytes/s,Flow Duration,Extra\n2,1,z\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "crlf.csv").write_bytes(b"\xef\xbb\xbfFlow Duration,Flow Bytes/s\r\n1,2\r\n")
+    frames = tables.scan_by_header(spark, str(tmp_path))
+    got = [(r["Flow Duration"], r["Flow Bytes/s"]) for f in frames for r in f.collect()]
+    assert got == [("1", "2")] * 3
+    rows = tables.scan_csv_any(spark, str(tmp_path), "[ab].csv").collect()
+    assert sorted((r["Flow Duration"], r["Flow Bytes/s"], str(r["Extra"])) for r in rows) == [("1", "2", "None"), ("1", "2", "z")]
+
+
+def test_missing_classes_are_capped_and_split(spark):
+    rows = spark.range(600).select("id", F.when(F.col("id") < 100, "a").alias("c"))
+    capped = sampling.cap_per_class(rows, ["c"], 10, 1, "id").groupBy("c").count().collect()
+    assert {r.c: r["count"] for r in capped} == {"a": 10, None: 10}
+    split = sampling.stratified_split(rows, ["c"], 0.2, 0.1, 1, "id").where("c IS NULL").groupBy("split").count().collect()
+    assert {r.split: r["count"] for r in split} == {"test": 100, "val": 50, "train": 350}
+
+
+@pytest.mark.parametrize(("column", "kind", "values", "want"), [
+    ("Is_Malicious", "boolean", [True, False, None], [1, 0, 0]), ("Is_Malicious", "double", [1.0, 0.0, 2.0], [1, 0, 0]),
+    ("Is_Malicious", "string", ["1", "x", None], [1, 0, 0]), ("Binary_Label", "string", ["malicious", "BENIGN", None], [1, 0, 0]),
+    ("Expected_Verdict", "string", ["THREAT", "benign", None], [1, 0, 1]), ("Label", "string", ["DDoS", "BENIGN", None], [1, 0, 1]),
+    ("label", "int", [3, 0, None], [1, 1, 1]),
+])
+def test_truth_by_type(spark, column, kind, values, want):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, {column} {kind}")
+    assert [r.t for r in df.select("i", labels.truth_target(df).alias("t")).orderBy("i").collect()] == want
+
+
+def test_scratch_needs_a_shared_folder_off_local_masters(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from flowspark import session
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context)
+    with pytest.raises(RuntimeError):
+        session.shared_dir(far)
+    far.conf.get = lambda *a: "hdfs://x/y/"
+    assert session.shared_dir(far) == "hdfs://x/y"
+    far.conf.get, context.getCheckpointDir = (lambda *a: None), (lambda: "hdfs://z")
+    assert session.shared_dir(far) == "hdfs://z"
