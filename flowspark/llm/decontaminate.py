@@ -23,8 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-Q = 14
-ERROR_RATE = 0.05
+Q = 10
+ERROR_RATE = 0.1
 MIN_SHARED = 8
 BLOCK_CHARS = 4_000_000
 #: Characters of documents handled at a time inside a task.
