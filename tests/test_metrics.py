@@ -56,7 +56,7 @@ def test_scores_crowded_together_are_dealt_evenly(spark):
     rows = spark.range(n).select((F.col("id") % 2).alias("y"), F.when(F.col("id") % 100 == 0, F.col("id") / n).otherwise(F.col("id") / n / 4096).alias("p"))
     counted = mx.score_counts(rows, "y", "p")
     assert counted.count() == rows.select("p").distinct().count()
-    top = counted.orderBy(F.desc("tp")).first()
+    top = counted.orderBy(F.desc("tp"), F.desc("fp")).first()
     assert (top.tp, top.fp) == (n // 2, n // 2)
     assert "_bucket" not in counted.columns
 
