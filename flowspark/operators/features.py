@@ -221,6 +221,11 @@ def flow_table(packets: DataFrame, cfg: FlowConfig = FlowConfig(), blocks: list[
     return _derive(_aggregate(mark_flows(packets, cfg), cfg, blocks, bursts), blocks, bursts)
 
 
+def derive(flows: DataFrame) -> DataFrame:
+    """Rates, ratios, burst defaults and metadata from the aggregates of every block."""
+    return _derive(flows, list(BLOCKS)[1:], True)
+
+
 def canonical(flows: DataFrame) -> DataFrame:
     """Metadata and the 65 features under their canonical names."""
     return flows.select(

@@ -236,7 +236,10 @@ def _round(value, short: str):
 
 
 def _all_features(spark, sf, cfg):
-    flows = fx.flow_features(view(spark, sf, "packets"), cfg)
+    return rounded_features(fx.flow_features(view(spark, sf, "packets"), cfg))
+
+
+def rounded_features(flows):
     return flows.withColumns({name: _round(F.col(f"`{name}`"), short) for name, short in fx.SHORT_NAMES.items()})
 
 

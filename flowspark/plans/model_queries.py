@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from flowspark.functions.schema import FEATURES
 from flowspark.operators import features as fx
 from flowspark.operators import flows as fl
 from flowspark.operators import isolation, models
-from flowspark.plans.flow_queries import _K, CFG, assigned
+from flowspark.plans.flow_queries import _ALL_SQL, _K, CFG, assigned, rounded_features
 from flowspark.plans.registry import query
 from flowspark.plans.views import duck, view
 from flowspark.session import materialize, scratch_path
@@ -153,6 +154,13 @@ def stream_assign_flows(spark, sf):
         (F.col("fwd_bytes") + F.col("bwd_bytes")).alias("bytes"))
 
 
+@query("stream_flow_features_65", _ALL_SQL)
+def stream_flow_features_65(spark, sf):
+    """The features of flows as they end, from running state alone."""
+    flows = fs.run_available(fs.stream_features(_packet_stream(spark, sf), CFG), "flows").where("capture_id <> 'end'")
+    return rounded_features(flows)
+
+
 @query("stream_idle_sessions", assigned(active=None, rst=False, fin=False) + f""" SELECT {_K}, count(*) AS packets, cast(sum(payload_len) AS BIGINT) AS bytes,
  min(ts_us) AS first_us, max(ts_us) AS last_us FROM (SELECT p.*, f.flow_seq FROM p JOIN f USING (capture_id, pkt_no)) GROUP BY {_K}, flow_seq""")
 def stream_idle_sessions(spark, sf):
@@ -161,11 +169,11 @@ def stream_idle_sessions(spark, sf):
 
 @query("stream_scores", f"SELECT capture_id, flow_seq, flow_start, TRUE AS consistent FROM ({_FLOWS})")
 def stream_scores(spark, sf):
-    """Flows scored as they end, by a forest fitted on the flows of the same packets at rest."""
-    flows = _flows(spark, sf)
-    scaler = models.fit_scaler(flows, _STREAM_FEATURES)
-    rows = flows.select(F.col("target").cast("double").alias("target"), models.scaled_vector(scaler).alias("features"))
+    """Flows scored as they end on all 65 features, by a forest fitted on the flows of the same packets at rest."""
+    flows = materialize(_labeled(fx.flow_table(view(spark, sf, "packets"), CFG)), "flows")
+    rest = fx.canonical(flows).join(flows.select("capture_id", "flow_start", "flow_seq", "target"), ["capture_id", "flow_start", "flow_seq"])
+    scaler = models.fit_scaler(rest, FEATURES)
+    rows = rest.select(F.col("target").cast("double").alias("target"), models.scaled_vector(scaler).alias("features"))
     detector = models.Detector(scaler, models.fit_forest(rows, "target", "features", TRAIN), "RF", 0.5)
-    stream = fs.stream_flows(_packet_stream(spark, sf), CFG).where("capture_id <> 'end'")
-    stream = stream.withColumn("dur", F.greatest(F.lit(0), F.col("last_us") - F.col("first_us")))
+    stream = fs.stream_features(_packet_stream(spark, sf), CFG).where("capture_id <> 'end'")
     return _facts(fs.run_available(detector.transform(stream), "scores"), "capture_id", "flow_seq", "flow_start", consistent=_consistent(stream, 0.5))

@@ -1,9 +1,11 @@
 """Flows from a packet stream.
 
-Per connection the state is the open flow's running totals, never its packets. A flow is emitted
-when a packet ends it (RST, second FIN), when a later packet falls beyond a timeout, or when the
-watermark passes the timeout. Packets behind the watermark are dropped by the engine; packets of
-one micro-batch are taken in order of their number.
+Per connection the state is the open flow's running totals, never its packets: counts, sums, exact
+sums of squares, extremes, last times and the open burst, from which all 65 features follow. A flow
+is emitted when a packet ends it (RST, second FIN), when a later packet falls beyond a timeout, or
+when the watermark passes the timeout. Packets behind the watermark are dropped by the engine;
+packets of one micro-batch are taken in order of their number, so they meet in one task: bound a
+batch by `max_files` (or the source's own rate limit). Bursts follow the order of packets.
 """
 
 from __future__ import annotations
@@ -17,15 +19,84 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from flowspark.functions import cuts
-from flowspark.operators.flows import FIN, KEY, KEY_DDL, RST, UDP, FlowConfig, with_key
+from flowspark.operators import features
+from flowspark.operators.flows import ACK, FIN, KEY, KEY_DDL, PSH, RST, SYN, UDP, URG, FlowConfig, with_key
 from flowspark.session import scratch_path
 
 _TOTALS = ["fwd_pkts", "bwd_pkts", "fwd_bytes", "bwd_bytes"]
-_OPEN = ["flow_start", "start_dir", "first_us", "last_us", "fins", *_TOTALS]
-_STATE = ["seq", "prev_ts", "prev_flags", "is_open", "timer", *_OPEN]
-_STATE_DDL = ", ".join(f"{c} bigint" for c in _STATE)
+#: Series a flow keeps the moments of: number, sum, sum of squares (whole, as text), least, greatest.
+_SERIES = ["fwd_len", "bwd_len", "len", "iat", "fwd_iat", "bwd_iat", "active", "idle"]
+_COUNTS = ["fwd_psh", "fin_cnt", "syn_cnt", "psh_cnt", "ack_cnt", "urg_cnt", "fwd_header", "bwd_header", "act_data_fwd"]
+#: What has no value before its first packet: -1.
+_FIRSTS = ["init_win_fwd", "init_win_bwd", "min_seg_fwd", "last_fwd", "last_bwd"]
+_SQUARES = [f"{x}_sq" for x in _SERIES]
+_MOMENTS = [f"{x}_{m}" for x in _SERIES for m in ("n", "sum", "lo", "hi")]
+_OPEN = ["flow_start", "start_dir", "first_us", "last_us", "fins", "burst_us", *_TOTALS, *_COUNTS, *_FIRSTS, *_MOMENTS]
+_STATE = ["seq", "prev_ts", "prev_flags", "is_open", "timer", *_OPEN, *_SQUARES]
+_STATE_DDL = ", ".join(f"{c} {'string' if c in _SQUARES else 'bigint'}" for c in _STATE)
+_FRESH = dict.fromkeys([*_TOTALS, *_COUNTS, *_MOMENTS], 0) | dict.fromkeys(_FIRSTS, -1) | dict.fromkeys(_SQUARES, "0")
+_STATS = [f"{x}_{m}" for x in _SERIES[:6] for m in ("max", "min", "mean", "std")] + [
+    "len_var", "fwd_iat_total", "bwd_iat_total", *[f"{x}_{m}" for x in ("active", "idle") for m in ("mean", "std", "max", "min")],
+    *_COUNTS, "init_win_fwd", "init_win_bwd", "min_seg_fwd"]
 FLOW_DDL = (f"{KEY_DDL}, flow_seq bigint, flow_start bigint, first_us bigint, last_us bigint, "
-            "fwd_pkts bigint, bwd_pkts bigint, fwd_bytes bigint, bwd_bytes bigint, end_reason string")
+            "fwd_pkts bigint, bwd_pkts bigint, fwd_bytes bigint, bwd_bytes bigint, end_reason string, start_dir bigint, "
+            + ", ".join(f"{c} double" for c in _STATS))
+_COLUMNS = [*KEY, "flow_seq", "flow_start", "first_us", "last_us", *_TOTALS, "end_reason", "start_dir", *_STATS]
+
+
+def _add(s: dict, series: str, values: np.ndarray) -> None:
+    """Take values into the moments of a series."""
+    if not len(values):
+        return
+    low, high = int(values.min()), int(values.max())
+    if s[f"{series}_n"]:
+        low, high = min(low, s[f"{series}_lo"]), max(high, s[f"{series}_hi"])
+    s.update({
+        f"{series}_n": s[f"{series}_n"] + len(values), f"{series}_sum": s[f"{series}_sum"] + int(values.sum()), f"{series}_lo": low,
+        f"{series}_hi": high, f"{series}_sq": str(int(s[f"{series}_sq"]) + sum(v * v for v in values.tolist())),
+    })
+
+
+def _moments(s: dict, series: str, none: float | None) -> dict[str, float | None]:
+    n, total = s[f"{series}_n"], s[f"{series}_sum"]
+    if not n:
+        return dict.fromkeys((f"{series}_max", f"{series}_min", f"{series}_mean", f"{series}_std"), none)
+    spread = (n * int(s[f"{series}_sq"]) - total * total) / (n * n)
+    return {f"{series}_max": float(s[f"{series}_hi"]), f"{series}_min": float(s[f"{series}_lo"]), f"{series}_mean": total / n,
+            f"{series}_std": spread ** 0.5}
+
+
+def _take(s: dict, known: bool, ts, forward, size, header, flags, win, burst_us: int) -> None:
+    """Take a run of packets of one flow into its state; known: the flow has packets before them."""
+    gaps = np.diff(ts, prepend=s["last_us"]) if known else np.diff(ts)
+    later = ts if known else ts[1:]
+    _add(s, "iat", gaps)
+    _add(s, "len", size)
+    for name, mine in (("fwd", forward), ("bwd", ~forward)):
+        if not mine.any():
+            continue
+        _add(s, f"{name}_len", size[mine])
+        own = ts[mine]
+        _add(s, f"{name}_iat", np.diff(own, prepend=s[f"last_{name}"]) if s[f"last_{name}"] >= 0 else np.diff(own))
+        if s[f"last_{name}"] < 0:
+            s[f"init_win_{name}"] = int(win[mine][0])
+        s[f"last_{name}"] = int(own[-1])
+        s[f"{name}_header"] += int(header[mine].sum())
+    if forward.any():
+        low = int(header[forward].min())
+        s["min_seg_fwd"] = low if s["min_seg_fwd"] < 0 else min(low, s["min_seg_fwd"])
+        s["act_data_fwd"] += int((size[forward] > 0).sum())
+        s["fwd_psh"] += int((flags[forward] & PSH > 0).sum())
+    for name, bit in (("fin_cnt", FIN), ("syn_cnt", SYN), ("psh_cnt", PSH), ("ack_cnt", ACK), ("urg_cnt", URG)):
+        s[name] += int((flags & bit > 0).sum())
+    pauses = np.flatnonzero(gaps > burst_us)
+    begins = np.append(s["burst_us"], later[pauses])
+    lengths = (later[pauses] - gaps[pauses]) - begins[:-1]
+    _add(s, "active", lengths[lengths > 0])
+    _add(s, "idle", gaps[pauses])
+    s["burst_us"] = int(begins[-1])
+
+
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -44,7 +115,7 @@ class FlowProcessor(StatefulProcessor):
     def _emit(self, key, flows: list[dict]) -> Iterator[pd.DataFrame]:
         if flows:
             rows = pd.DataFrame(flows).assign(**dict(zip(KEY, key)))
-            yield rows[[*KEY, "flow_seq", "flow_start", "first_us", "last_us", *_TOTALS, "end_reason"]]
+            yield rows[_COLUMNS]
 
     def _timer(self, key, s: dict) -> None:
         due = 0
@@ -62,7 +133,7 @@ class FlowProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows)).sort_values("pkt_no", ignore_index=True)
-        s = dict(zip(_STATE, self.state.get())) if self.state.exists() else dict.fromkeys(_STATE, 0) | {"seq": -1}
+        s = dict(zip(_STATE, self.state.get())) if self.state.exists() else dict.fromkeys(_STATE, 0) | _FRESH | {"seq": -1}
         known = s["seq"] >= 0
         ts, flags, pkt, d = (pdf[c].to_numpy() for c in ("ts_us", "flags", "pkt_no", "dir"))
         gaps = np.diff(ts, prepend=s["prev_ts"] if known else ts[0])
@@ -78,7 +149,7 @@ class FlowProcessor(StatefulProcessor):
         if first > 0:
             start_dir[0] = s["start_dir"]
         forward = d == np.repeat(start_dir, np.diff(np.append(begins, len(pdf))))
-        size = pdf["payload_len"].to_numpy().astype(np.int64)
+        size, header, win = (pdf[c].to_numpy().astype(np.int64) for c in ("payload_len", "header_len", "win"))
         sums = [np.add.reduceat(v.astype(np.int64), begins)
                 for v in (forward, ~forward, np.where(forward, size, 0), np.where(forward, 0, size), fin)]
         done = []
@@ -87,7 +158,9 @@ class FlowProcessor(StatefulProcessor):
                 if s["is_open"]:
                     done.append(self._close(s, "timeout"))
                 s.update(seq=s["seq"] + 1, is_open=1, flow_start=int(pkt[low]), start_dir=int(d[low]),
-                         first_us=int(ts[low]), fins=0, **dict.fromkeys(_TOTALS, 0))
+                         first_us=int(ts[low]), fins=0, burst_us=int(ts[low]), **_FRESH)
+            run = slice(low, high)
+            _take(s, i == 0 and first > 0, ts[run], forward[run], size[run], header[run], flags[run], win[run], self.cfg.burst_us)
             for name, total in zip([*_TOTALS, "fins"], sums):
                 s[name] += int(total[i])
             s["last_us"] = int(ts[high - 1])
@@ -97,20 +170,30 @@ class FlowProcessor(StatefulProcessor):
                 done.append(self._close(s, "fin"))
         s.update(prev_ts=int(ts[-1]), prev_flags=int(flags[-1]))
         self._timer(key, s)
-        self.state.update(tuple(int(s[c]) for c in _STATE))
+        self._keep(s)
         yield from self._emit(key, done)
 
+    def _keep(self, s: dict) -> None:
+        self.state.update(tuple(s[c] if c in _SQUARES else int(s[c]) for c in _STATE))
+
     @staticmethod
     def _close(s: dict, reason: str) -> dict:
         s["is_open"] = 0
-        return {"flow_seq": s["seq"], "end_reason": reason, **{c: s[c] for c in ("flow_start", "first_us", "last_us", *_TOTALS)}}
+        if s["last_us"] > s["burst_us"]:
+            _add(s, "active", np.array([s["last_us"] - s["burst_us"]]))
+        out = {"flow_seq": s["seq"], "end_reason": reason, **{c: s[c] for c in ("flow_start", "first_us", "last_us", "start_dir", *_TOTALS)}}
+        for series in _SERIES:
+            out |= _moments(s, series, None if series in ("active", "idle") else 0.0)
+        out |= {c: float(s[c]) for c in (*_COUNTS, "init_win_fwd", "init_win_bwd")}
+        return out | {"len_var": out["len_std"] ** 2, "fwd_iat_total": float(s["fwd_iat_sum"]), "bwd_iat_total": float(s["bwd_iat_sum"]),
+                      "min_seg_fwd": float(s["min_seg_fwd"]) if s["min_seg_fwd"] >= 0 else 20.0}
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         s = dict(zip(_STATE, self.state.get()))
         if s["is_open"]:
             flow = self._close(s, "timeout")
             s["timer"] = 0
-            self.state.update(tuple(int(s[c]) for c in _STATE))
+            self._keep(s)
             yield from self._emit(key, [flow])
 
     def close(self) -> None:
@@ -130,6 +213,13 @@ def stream_flows(packets: DataFrame, cfg: FlowConfig = FlowConfig(), delay: str
     return keyed.groupBy(*KEY).transformWithStateInPandas(FlowProcessor(cfg), FLOW_DDL, "append", "EventTime")
 
 
+def stream_features(packets: DataFrame, cfg: FlowConfig = FlowConfig(), delay: str = "0 seconds") -> DataFrame:
+    """Metadata and the 65 features of each flow as it ends, as `features.flow_features` gives them at rest."""
+    flows = stream_flows(packets, cfg, delay)
+    flows = flows.withColumn("dur", F.greatest(F.lit(0), F.col("last_us") - F.col("first_us")).cast("double"))
+    return features.canonical(features.derive(flows))
+
+
 def stream_sessions(packets: DataFrame, cfg: FlowConfig = FlowConfig(), delay: str = "0 seconds") -> DataFrame:
     """Idle-only sessions of each connection with the built-in session window."""
     keyed = with_key(event_time(packets, delay), extra=["event_time"])
@@ -149,5 +239,7 @@ def run_available(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def open_stream(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(path)
+def open_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
+    """A folder of packet files as a stream, at most max_files of them in one micro-batch."""
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
