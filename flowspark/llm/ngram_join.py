@@ -374,7 +374,8 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFram
         F.min("doc_id").alias("least_id"), F.min(F.struct(*_place())).alias("place"), F.count(F.lit(1)).alias("weight"),
         F.min("n").alias("n"), F.min("bits").alias("bits"), F.min("d1").alias("d1"), F.min("d2").alias("d2")), "classes")
 
-    members = materialize(_memberships(_prefixes(source.select("text"), frequent, renamed, words)), "members")
+    prefixes = materialize(_prefixes(source.select("text"), frequent, renamed, words), "prefixes")
+    members = materialize(_memberships(prefixes), "members")
     pivots = members.groupBy("sid").agg(F.sort_array(F.collect_list("pivot")).alias("pivots"))
     about = pivots.join(classes, "sid")
     first = _dealt(members).join(about.select("sid", "pivots", "n", "bits"), "sid") \
@@ -406,8 +407,9 @@ def _place() -> list:
 def _with_sets(source: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """A row for each group of each wanted class, with the class's whole set, taken from the text of one of its rows."""
     texts = source.select(*_place(), "text")
-    small = wanted.count() <= BROADCAST_ROWS
-    found = texts.join(F.broadcast(wanted) if small else wanted, ["_none", "_id", "_h"])
+    if wanted.count() <= BROADCAST_ROWS:  # only keys are broadcast, and only the texts they name are moved
+        texts = texts.join(F.broadcast(wanted.select("_none", "_id", "_h").distinct()), ["_none", "_id", "_h"], "left_semi")
+    found = texts.join(wanted, ["_none", "_id", "_h"])
 
     def run(batches):
         for batch in batches:
