@@ -28,7 +28,7 @@ ERROR_RATE = 0.1
 MIN_SHARED = 8
 BLOCK_CHARS = 4_000_000
 #: Characters of documents handled at a time inside a task.
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 MATCHES = "array<struct<item_id:bigint,start:bigint,end:bigint,edits:int>>"
 

@@ -42,7 +42,7 @@ BLOCK = 4096
 #: Texts named by fewer rows than this are fetched by a broadcast of their ids, by a shuffled join beyond it.
 BROADCAST_ROWS = 200_000
 #: n-grams looked at together for frequent ones.
-LOOK = 2_000_000
+LOOK = 1_000_000
 
 
 def shingles(data: np.ndarray, ends: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:

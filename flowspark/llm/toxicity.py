@@ -81,6 +81,11 @@ class Chain:
             parts.append(np.concatenate([np.log1p(count), np.log1p(count.sum(1))[:, None], np.sqrt(share)[:, None]], 1))
         return np.concatenate(parts) if parts else np.empty((0, k + 2))
 
+    def judge(self, column: pa.Array) -> np.ndarray:
+        """Rows x categories of a column of texts, a few hundred rows at a time."""
+        parts = [self.probabilities(self.inputs(column.slice(i, 512))) for i in range(0, len(column), 512)]
+        return np.concatenate(parts) if parts else np.zeros((0, len(self.names)))
+
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         """Rows x categories."""
         out = np.zeros((len(x), len(self.names)))
@@ -197,7 +202,7 @@ def with_toxicity(docs: DataFrame, chain: Chain, text_col: str = "text", out: st
     def judged(text: pd.Series) -> pd.DataFrame:
         if not chain.weights:
             return pd.DataFrame({**{n: np.zeros(len(text)) for n in names}, "rejected": np.zeros(len(text), bool)})
-        p = chain.probabilities(chain.inputs(pa.array(text, pa.string())))
+        p = chain.judge(pa.array(text, pa.string()))
         return pd.DataFrame({**{n: p[:, c] for c, n in enumerate(names)}, "rejected": p[:, -1] >= chain.cut})
 
     return docs.withColumn(out, judged(F.col(f"`{text_col}`")))

@@ -1,6 +1,6 @@
 """Vectorised helpers inside tasks: bytes of an Arrow column, word spans, word and range hashes, sliding minima.
 
-Everything works on slices of about a megabyte of text, so a task holds a fixed multiple of that, whatever the batch.
+Everything works on slices of about a quarter megabyte of text, so a task holds a fixed multiple of that, whatever the batch.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 20
+SLICE = 1 << 18
 BASE = 0x9E3779B97F4A7C15
 ODD = np.uint64(0xD6E8FEB86659FD93)
 

@@ -13,7 +13,7 @@ import numpy as np
 #: Words remembered per worker; beyond it the memory starts anew (only speed depends on it).
 REMEMBERED = 1_500_000
 #: Bytes handled at a time; a longer text is cut at white space, where no token can span.
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 _SPACE, _LETTER, _DIGIT, _OTHER, _BAD = 0, 1, 2, 3, 4
 _CLASS = np.full(256, _BAD, np.uint8)
