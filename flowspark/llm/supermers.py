@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from flowspark.llm.words import SLICE, gram_hashes, range_hashes, slices, sliding_min
 
-#: Rows of wanted documents up to which they are broadcast to the texts; a shuffled join beyond it.
+#: Places (13 bytes each) up to which they are broadcast to the texts; a shuffled join beyond it.
 BROADCAST_ROWS = 200_000
 #: Ids that stand in for null: after every id.
 LAST = (1 << 63) - 1
@@ -96,6 +96,16 @@ def super_mers(source: DataFrame, symbols: Callable, window: int, gram: int, anc
 
 
 def joined(source: DataFrame, wanted: DataFrame, how: str = "inner") -> DataFrame:
-    """Placed texts with the rows of wanted (written, at most one per place): broadcast only if its checked size is small."""
-    small = wanted.count() <= BROADCAST_ROWS
-    return source.join(F.broadcast(wanted) if small else wanted, list(PLACE), how)
+    """Placed texts with the rows of wanted (written, at most one per place); how: inner or left.
+
+    While wanted names no more than BROADCAST_ROWS places, only their keys are broadcast, and only the texts they name are
+    moved; with more, all texts are.
+    """
+    if wanted.count() > BROADCAST_ROWS:
+        return source.join(wanted, list(PLACE), how)
+    keys = F.broadcast(wanted.select(*PLACE))
+    named = source.join(keys, list(PLACE), "left_semi").join(wanted, list(PLACE))
+    if how == "inner":
+        return named
+    others = source.join(keys, list(PLACE), "left_anti")
+    return named.unionByName(others, allowMissingColumns=True)
