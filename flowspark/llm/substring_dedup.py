@@ -5,8 +5,11 @@ minimiser travel as one packed string (their words, one space between) to the mi
 all strings are ranked exactly, by sorting pairs of ranks of half-windows over the bucket's own words, and every window
 learns the smallest doc_id it starts in. Each document then drops the words of its windows that start in a smaller one.
 
-Buckets are bounded: minimisers with one document only never travel, equal strings travel once, and a minimiser with
-more than `HOT` different strings is split by a second minimiser of its windows.
+Buckets are bounded: minimisers with one document only never travel, equal strings travel once, and the strings of a
+minimiser with more than `HOT` different ones, or more than `WORDS` words, are dealt over shards by their hash. A shard
+reduces its windows to the different ones (a 128-bit digest and the smallest doc_id each), the shards' minima are merged
+by digest, and what another shard has smaller comes back to it. So a window that stands in every string is one row of
+each shard, however many strings there are.
 
 Defined results: null and empty texts have no words and keep nothing. A null doc_id counts as greater than every id, and
 rows with equal ids (null or not) never remove each other's words. An empty table gives an empty table. Other columns
@@ -16,21 +19,25 @@ are ignored, whatever their names.
 from __future__ import annotations
 
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowspark.llm.supermers import PLACE, joined, placed, super_mers
-from flowspark.llm.words import SLICE, gram_hashes, mixed, slices, sliding_min, span_hashes, spans
+from flowspark.llm.words import SLICE, span_hashes, spans
 from flowspark.session import materialize
 
 WINDOW = 50
 GRAM = 8
-#: Different strings of one minimiser beyond which it is split by a second one.
+#: Different strings of one minimiser in one shard; more are dealt over several.
 HOT = 20_000
 #: Packed strings in a bucket, about.
 BUCKET = 20_000
+#: Words of packed strings in a bucket or shard, about; a string has at most a slice's.
+WORDS = 4_000_000
 
 
 def word_symbols(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -38,34 +45,20 @@ def word_symbols(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     return span_hashes(data, first, last), np.searchsorted(first, ends)
 
 
-def _packed(source: DataFrame, wanted: DataFrame, window: int, gram: int) -> DataFrame:
-    """(m, m2, s, at, windows, least, most, packed): the strings of wanted super-k-mers; hot ones split by m2."""
+def _packed(source: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """(m, s, shards, windows, least, most, packed): the strings of wanted super-k-mers."""
     def rows(batches):
         for batch in batches:
             parts = batch.column("parts").to_pylist()
             for r, text in enumerate(batch.column("text").to_pylist()):
                 words = text.encode().split()
-                out = []
-                for p in parts[r]:
-                    own = words[p["start"]:p["start"] + p["windows"] + window - 1]
-                    cuts = [(0, p["windows"], 0)] if not p["hot"] else _second(own, window, gram)
-                    out += [(p["m"], m2, p["s"], at, n, p["least"], p["most"], b" ".join(own[at:at + n + window - 1])) for at, n, m2 in cuts]
+                out = [(p["m"], p["s"], p["shards"], p["windows"], p["least"], p["most"],
+                        b" ".join(words[p["start"]:p["start"] + p["windows"] + window - 1])) for p in parts[r]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 8, [*[pa.int64()] * 7, pa.binary()], strict=True)],
-                    names=["m", "m2", "s", "at", "windows", "least", "most", "packed"])
-
-    return joined(source, wanted).mapInArrow(
-        rows, "m long, m2 long, s long, at long, windows long, least long, most long, packed binary")
-
+                    [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 7, [*[pa.int64()] * 6, pa.binary()], strict=True)],
+                    names=["m", "s", "shards", "windows", "least", "most", "packed"])
 
-def _second(words: list[bytes], window: int, gram: int) -> list[tuple[int, int, int]]:
-    """(first window, windows, second minimiser) of the runs of a hot super-k-mer under another order of its grams."""
-    data = b" ".join(words)
-    h, _ = word_symbols(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
-    other = sliding_min(mixed(gram_hashes(h, gram) + np.uint64(0x632BE59BD9B4E019)), window - gram + 1)
-    head = np.flatnonzero(np.r_[True, other[1:] != other[:-1]])
-    size = np.diff(np.r_[head, len(other)])
-    return [(int(a), int(n), int(k)) for a, n, k in zip(head, size, other[head].view(np.int64), strict=True)]
+    return joined(source, wanted).mapInArrow(rows, "m long, s long, shards long, windows long, least long, most long, packed binary")
 
 
 def window_ranks(words: np.ndarray, window: int) -> np.ndarray:
@@ -78,36 +71,87 @@ def window_ranks(words: np.ndarray, window: int) -> np.ndarray:
     return rank
 
 
-def _count_windows(window: int):
-    def run(table: pa.Table) -> pa.Table:
-        strings = [x.split(b" ") for x in table.column("packed").to_pylist()]
+class _Windows:
+    """The windows of a bucket's strings, in a row, and which of them are equal."""
+
+    def __init__(self, table: pa.Table, window: int):
+        self.table, self.window = table, window
+        self.strings = [x.split(b" ") for x in table.column("packed").to_pylist()]
         number: dict[bytes, int] = {}
-        words = np.fromiter((number.setdefault(w, len(number)) for s in strings for w in s), np.int64)
-        rank = window_ranks(words, window)
+        words = np.fromiter((number.setdefault(w, len(number)) for s in self.strings for w in s), np.int64)
         windows = table.column("windows").to_numpy()
-        begin = np.cumsum([0, *map(len, strings)])[:-1]
-        inside = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-        rank = rank[np.repeat(begin, windows) + inside]
-        least, most = (table.column(c).to_numpy() for c in ("least", "most"))
-        order = np.argsort(rank, kind="stable")
-        head = np.flatnonzero(np.r_[True, rank[order][1:] != rank[order][:-1]]) if len(rank) else np.empty(0, np.int64)
-        first = np.empty(len(rank), np.int64)
-        if len(rank):
-            first[order] = np.repeat(np.minimum.reduceat(np.repeat(least, windows)[order], head), np.diff(np.r_[head, len(rank)]))
-        owner = np.repeat(np.arange(len(windows)), windows)
-        fresh = np.r_[True, (owner[1:] != owner[:-1]) | (first[1:] != first[:-1])] if len(owner) else np.empty(0, bool)
-        at = np.flatnonzero(fresh)
+        begin = np.cumsum([0, *map(len, self.strings)])[:-1]
+        self.owner = np.repeat(np.arange(len(windows)), windows)
+        self.inside = np.arange(len(self.owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+        rank = window_ranks(words, window)[begin[self.owner] + self.inside]
+        self.order = np.argsort(rank, kind="stable")
+        ranked = rank[self.order]
+        self.head = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+        #: Smallest id of each different window.
+        self.least = np.minimum.reduceat(table.column("least").to_numpy()[self.owner][self.order], self.head)
+
+    def digests(self) -> list[bytes]:
+        """128 bits of each different window's words."""
+        at = self.order[self.head]
+        return [blake2b(b" ".join(self.strings[r][i:i + self.window]), digest_size=16).digest()
+                for r, i in zip(self.owner[at].tolist(), self.inside[at].tolist(), strict=True)]
+
+    def ranges(self) -> pa.Table:
+        """Runs of each string's windows with one smallest id, where some document of the string comes later."""
+        owner, inside, first = self.owner, self.inside, np.empty(len(self.owner), np.int64)
+        first[self.order] = np.repeat(self.least, np.diff(np.r_[self.head, len(first)]))
+        at = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (first[1:] != first[:-1])])
         size = np.diff(np.r_[at, len(owner)])
-        useful = first[at] < most[owner[at]]  # some document of this string comes later than the window's first
+        useful = first[at] < self.table.column("most").to_numpy()[owner[at]]
         at, size = at[useful], size[useful]
         o = owner[at]
-        return pa.table({
-            "m": table.column("m").to_numpy()[o], "s": table.column("s").to_numpy()[o],
-            "low": table.column("at").to_numpy()[o] + inside[at], "size": size, "first_id": first[at]})
+        return pa.table({"m": self.table.column("m").to_numpy()[o], "s": self.table.column("s").to_numpy()[o],
+                         "low": inside[at], "size": size, "first_id": first[at]})
+
+
+RANGES = "m long, s long, low long, size long, first_id long"
+
+
+def _count_windows(window: int):
+    def run(table: pa.Table) -> pa.Table:
+        return _Windows(table, window).ranges()
 
     return run
 
 
+def _shard_windows(window: int):
+    """The different windows of a shard."""
+    def run(table: pa.Table) -> pa.Table:
+        found = _Windows(table, window)
+        n = len(found.head)
+        return pa.table({**{c: pa.array(np.full(n, table.column(c)[0].as_py()), pa.int64()) for c in ("m", "shard")},
+                         "digest": pa.array(found.digests(), pa.binary()), "least": found.least})
+
+    return run
+
+
+def _shard_ranges(window: int):
+    """Ranges of a shard's strings, after the smaller ids that other shards have for its windows."""
+    def run(table: pa.Table, smaller: pa.Table) -> pa.Table:
+        found = _Windows(table, window)
+        if len(smaller):
+            known = dict(zip(smaller.column("digest").to_pylist(), smaller.column("first").to_pylist(), strict=True))
+            found.least = np.fromiter(map(known.get, found.digests(), found.least.tolist()), np.int64)
+        return found.ranges()
+
+    return run
+
+
+def _over_shards(hot: DataFrame, window: int) -> DataFrame:
+    """Ranges of the strings (written) of minimisers that are dealt over shards."""
+    dealt = hot.withColumn("shard", F.pmod(F.xxhash64("s"), F.col("shards")))
+    windows = materialize(dealt.groupBy("m", "shard").applyInArrow(
+        _shard_windows(window), "m long, shard long, digest binary, least long"), "shard_windows")
+    firsts = windows.groupBy("m", "digest").agg(F.min("least").alias("first"), F.max("least").alias("last")).where("first < last")
+    smaller = windows.join(firsts, ["m", "digest"]).where("first < least").select("m", "shard", "digest", "first")
+    return dealt.groupBy("m", "shard").cogroup(smaller.groupBy("m", "shard")).applyInArrow(_shard_ranges(window), RANGES)
+
+
 def removed_spans(source: DataFrame, window: int = WINDOW, gram: int = GRAM, size: int = SLICE) -> DataFrame:
     """Places with the word ranges to remove: _none, _id, _h, spans (array of from, to; may overlap)."""
     mers = materialize(super_mers(source, word_symbols, window, gram, size=size).drop("anchors"), "supermers")
@@ -117,14 +161,23 @@ def removed_spans(source: DataFrame, window: int = WINDOW, gram: int = GRAM, siz
     strings = mine.groupBy("m", "s").agg(
         F.min("_id").alias("least"), F.max("_id").alias("most"), F.min(F.struct(*PLACE, "start")).alias("p"), F.first("windows").alias("windows"))
     strings = materialize(strings, "strings")
-    hot = strings.groupBy("m").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > HOT).select("m", F.lit(True).alias("hot"))
-    wanted = strings.join(hot, "m", "left").groupBy("p._none", "p._id", "p._h").agg(
-        F.collect_list(F.struct("m", "s", "p.start", "windows", "least", "most", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("parts"))
+    words = F.sum(F.col("windows") + window - 1)
+    shards = F.ceil(F.greatest(F.count(F.lit(1)) / HOT, words / WORDS))
+    hot = materialize(strings.groupBy("m").agg(shards.alias("shards")).where("shards > 1"), "hot_minimisers")
+    wanted = strings.join(hot, "m", "left").groupBy("p._none", "p._id", "p._h").agg(F.collect_list(F.struct(
+        "m", "s", "p.start", "windows", "least", "most", F.coalesce("shards", F.lit(1)).alias("shards"))).alias("parts"))
     wanted = materialize(wanted, "wanted")
 
-    buckets = max(1, strings.count() // BUCKET)
-    found = _packed(source, wanted, window, gram).withColumn("bucket", F.pmod(F.xxhash64("m", "m2"), F.lit(buckets))) \
-        .groupBy("bucket").applyInArrow(_count_windows(window), "m long, s long, low long, size long, first_id long")
+    count, total = strings.agg(F.count(F.lit(1)), words).first()
+    buckets = max(1, count // BUCKET, (total or 0) // WORDS)
+    packed = _packed(source, wanted, window)
+    many = not hot.isEmpty()
+    if many:
+        packed = materialize(packed, "packed")
+    found = packed.where("shards = 1").withColumn("bucket", F.pmod(F.xxhash64("m"), F.lit(buckets))) \
+        .groupBy("bucket").applyInArrow(_count_windows(window), RANGES)
+    if many:
+        found = found.unionByName(_over_shards(packed.where("shards > 1"), window))
     ranges = mine.join(materialize(found, "window_counts"), ["m", "s"]).where("first_id < _id")
     low = F.col("start") + F.col("low")
     return ranges.groupBy(*PLACE).agg(F.collect_list(F.struct(low.alias("from"), (low + F.col("size") + window - 1).alias("to"))).alias("spans"))

@@ -60,6 +60,34 @@ def test_shuffled_join(make_docs, monkeypatch):
     assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got), key=str) == sorted(brute(rows, 15), key=str)
 
 
+def test_passage_in_many_texts_is_bounded(make_docs, monkeypatch):
+    """One passage with different text around it: no task takes more than a few shards' worth of strings."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(30)]
+    rows = [(i, " ".join([*(f"a{rng.random()}" for _ in range(25)), *passage, *(f"b{rng.random()}" for _ in range(25))])) for i in range(200)]
+
+    def bounded(make):
+        def made(window):
+            run = make(window)
+
+            def checked(strings, *more):
+                if strings.num_rows > 60:
+                    raise MemoryError(strings.num_rows)
+                return run(strings, *more)
+
+            return (lambda strings, smaller: checked(strings, smaller)) if make.__name__ == "_shard_ranges" else lambda strings: checked(strings)
+
+        return made
+
+    for name in ("_count_windows", "_shard_windows", "_shard_ranges"):
+        if hasattr(op, name):
+            monkeypatch.setattr(op, name, bounded(getattr(op, name)))
+    monkeypatch.setattr(op, "HOT", 20)
+    monkeypatch.setattr(op, "BUCKET", 20)
+    got = op.deduplicated(make_docs(*rows), 25, 5).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got), key=str) == sorted(brute(rows, 25), key=str)
+
+
 def test_ranks_are_exact():
     rng = np.random.default_rng(1)
     words = rng.integers(0, 2, 500)
