@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.llm.supermers import PLACE, joined, placed, super_mers
+from flowspark.llm.supermers import PLACE, held, joined, placed, super_mers
 from flowspark.llm.words import SLICE, span_hashes, spans
 from flowspark.session import materialize
 
@@ -51,9 +51,11 @@ def _packed(source: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             parts = batch.column("parts").to_pylist()
             for r, text in enumerate(batch.column("text").to_pylist()):
-                words = text.encode().split()
+                data = text.encode()
+                words = data.split()
+                values, _ = word_symbols(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
                 out = [(p["m"], p["s"], p["shards"], p["windows"], p["least"], p["most"],
-                        b" ".join(words[p["start"]:p["start"] + p["windows"] + window - 1])) for p in parts[r]]
+                        b" ".join(words[p["start"]:p["start"] + p["windows"] + window - 1])) for p in held(values, parts[r], window)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 7, [*[pa.int64()] * 6, pa.binary()], strict=True)],
                     names=["m", "s", "shards", "windows", "least", "most", "packed"])
@@ -153,7 +155,7 @@ def _over_shards(hot: DataFrame, window: int) -> DataFrame:
 
 
 def removed_spans(source: DataFrame, window: int = WINDOW, gram: int = GRAM, size: int = SLICE) -> DataFrame:
-    """Places with the word ranges to remove: _none, _id, _h, spans (array of from, to; may overlap)."""
+    """Places with the word ranges to remove: _none, _id, _h, _n, spans (array of from, to; may overlap)."""
     mers = materialize(super_mers(source, word_symbols, window, gram, size=size).drop("anchors"), "supermers")
     shared = mers.groupBy("m").agg(F.min("_id").alias("x"), F.max("_id").alias("y")).where("x < y").select("m")
     mine = materialize(mers.join(shared, "m"), "shared_supermers")
@@ -164,7 +166,7 @@ def removed_spans(source: DataFrame, window: int = WINDOW, gram: int = GRAM, siz
     words = F.sum(F.col("windows") + window - 1)
     shards = F.ceil(F.greatest(F.count(F.lit(1)) / HOT, words / WORDS))
     hot = materialize(strings.groupBy("m").agg(shards.alias("shards")).where("shards > 1"), "hot_minimisers")
-    wanted = strings.join(hot, "m", "left").groupBy("p._none", "p._id", "p._h").agg(F.collect_list(F.struct(
+    wanted = strings.join(hot, "m", "left").groupBy(*[f"p.{c}" for c in PLACE]).agg(F.collect_list(F.struct(
         "m", "s", "p.start", "windows", "least", "most", F.coalesce("shards", F.lit(1)).alias("shards"))).alias("parts"))
     wanted = materialize(wanted, "wanted")
 

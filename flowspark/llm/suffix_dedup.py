@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.llm.supermers import PLACE, joined, placed, super_mers
+from flowspark.llm.supermers import PLACE, held, joined, placed, super_mers
 from flowspark.llm.words import SLICE, TABLE, texts
 from flowspark.session import materialize
 
@@ -209,7 +209,8 @@ def _packed(source: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
             data, ends = texts(batch.column("text"))
             for r in range(len(parts)):
                 text = data[ends[r]:ends[r + 1]].tobytes()
-                out = [(p["m"], p["s"], p["copies"], p["shards"], text[p["start"]:p["start"] + p["windows"] + window - 1]) for p in parts[r]]
+                out = [(p["m"], p["s"], p["copies"], p["shards"], text[p["start"]:p["start"] + p["windows"] + window - 1])
+                       for p in held(TABLE[data[ends[r]:ends[r + 1]]], parts[r], window)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, [*[pa.int64()] * 4, pa.binary()], strict=True)],
                     names=["m", "s", "copies", "shards", "packed"])
@@ -218,7 +219,7 @@ def _packed(source: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
 
 
 def removed_spans(source: DataFrame, window: int = WINDOW, gram: int = GRAM, size: int = SLICE) -> DataFrame:
-    """Places with the byte ranges to remove: _none, _id, _h, spans (array of from, to; may overlap)."""
+    """Places with the byte ranges to remove: _none, _id, _h, _n, spans (array of from, to; may overlap)."""
     mers = materialize(super_mers(source, byte_symbols, window, gram, anchors=True, size=size), "supermers")
     shared = mers.groupBy("m").agg(F.sum("anchors").alias("n")).where("n > 1").select("m")
     mine = materialize(mers.join(shared, "m").drop("anchors"), "shared_supermers")
@@ -227,7 +228,7 @@ def removed_spans(source: DataFrame, window: int = WINDOW, gram: int = GRAM, siz
         F.count(F.lit(1)).alias("copies"), F.min(F.struct(*PLACE, "start")).alias("p"), F.first("windows").alias("windows")), "strings")
     per = strings.groupBy("m").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > HOT) \
         .select("m", F.ceil(F.col("k") / HOT).alias("shards"))
-    wanted = materialize(strings.join(per, "m", "left").groupBy("p._none", "p._id", "p._h").agg(F.collect_list(F.struct(
+    wanted = materialize(strings.join(per, "m", "left").groupBy(*[f"p.{c}" for c in PLACE]).agg(F.collect_list(F.struct(
         "m", "s", "p.start", "windows", "copies", F.coalesce("shards", F.lit(1)).alias("shards"))).alias("parts")), "wanted")
 
     total = strings.agg(F.sum(F.col("windows") + window - 1)).first()[0] or 0

@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 
 from flowspark.llm.words import SLICE, gram_hashes, range_hashes, slices, sliding_min
 
-#: Places (13 bytes each) up to which they are broadcast to the texts; a shuffled join beyond it.
+#: Places (21 bytes each) up to which they are broadcast to the texts; a shuffled join beyond it.
 BROADCAST_ROWS = 200_000
 #: Ids that stand in for null: after every id.
 LAST = (1 << 63) - 1
 
-PLACE = ("_none", "_id", "_h")
+PLACE = ("_none", "_id", "_h", "_n")
 
 
 def runs(values: np.ndarray, cuts: np.ndarray, window: int, gram: int, anchors: bool = False):
@@ -65,9 +65,13 @@ def runs(values: np.ndarray, cuts: np.ndarray, window: int, gram: int, anchors:
 
 
 def place_columns(id_col: str = "doc_id", text_col: str = "text") -> list:
-    """Columns that find a row again: its id, null or not, and a hash of its text. Rows equal in all three are equal."""
+    """Columns that find a row again: its id, null or not, and a 64-bit hash and the bytes of its text.
+
+    Many rows may share an id (all null ones do), so the text's part has to tell them apart by itself.
+    """
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     return [F.col(f"`{id_col}`").isNull().alias("_none"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("_id"),
-            F.hash(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("_h")]
+            F.xxhash64(text).alias("_h"), F.octet_length(text).alias("_n")]
 
 
 def placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -78,7 +82,7 @@ def super_mers(source: DataFrame, symbols: Callable, window: int, gram: int, anc
     """One row per super-k-mer of the placed texts. symbols(bytes, ends) gives a hash per symbol and the documents' cuts."""
     def rows(batches):
         for batch in batches:
-            for i, _, data, ends in slices(batch.column(3), size):
+            for i, _, data, ends in slices(batch.column(len(PLACE)), size):
                 values, cuts = symbols(data, ends)
                 # A long document goes in overlapping pieces: every window lies in exactly one of them.
                 for at in range(0, max(1, len(values) - window + 1), size) if len(cuts) == 2 else (0,):
@@ -88,11 +92,20 @@ def super_mers(source: DataFrame, symbols: Callable, window: int, gram: int, anc
                     start = start - inner[doc]
                     where = pa.array(doc + i)
                     yield pa.RecordBatch.from_arrays(
-                        [*(batch.column(c).take(where) for c in range(3)), pa.array(m.view(np.int64)), pa.array(s.view(np.int64)),
+                        [*(batch.column(c).take(where) for c in range(len(PLACE))), pa.array(m.view(np.int64)), pa.array(s.view(np.int64)),
                          pa.array(start + at), pa.array(count.astype(np.int32)), pa.array(n.astype(np.int32))],
                         names=[*PLACE, "m", "s", "start", "windows", "anchors"])
 
-    return source.mapInArrow(rows, "_none boolean, _id long, _h int, m long, s long, start long, windows int, anchors int")
+    return source.mapInArrow(rows, "_none boolean, _id long, _h long, _n int, m long, s long, start long, windows int, anchors int")
+
+
+def held(values: np.ndarray, parts: list[dict], window: int) -> list[dict]:
+    """The parts (m, s, start, windows ..) that a text with these symbols has: content hash s at the place stated."""
+    first = np.fromiter((p["start"] for p in parts), np.int64, len(parts))
+    last = first + np.fromiter((p["windows"] for p in parts), np.int64, len(parts)) + window - 1
+    inside = np.flatnonzero(last <= len(values))
+    s = range_hashes(values, first[inside], last[inside]).view(np.int64)
+    return [parts[i] for i, found in zip(inside.tolist(), s.tolist(), strict=True) if parts[i]["s"] == found]
 
 
 def joined(source: DataFrame, wanted: DataFrame, how: str = "inner") -> DataFrame:

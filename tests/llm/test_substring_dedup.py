@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from flowspark.llm import substring_dedup as op
 
@@ -101,3 +102,13 @@ def test_ranks_are_exact():
 
 def test_empty(empty_docs):
     assert op.deduplicated(empty_docs).count() == 0
+
+
+def test_null_ids_with_one_32_bit_hash(spark, make_docs):
+    """Two texts of rows without id that Spark's 32-bit hash can't tell apart; only one is in a further row."""
+    text = F.concat_ws(" ", *[F.concat(F.lit(c), "id") for c in "abcdefghijkl"])
+    many = spark.range(300_000).select(text.alias("text")).groupBy(F.hash("text")).agg(F.collect_list("text").alias("t"))
+    a, b = many.where("size(t) > 1").first().t[:2]
+    rows = [(None, a), (None, b), (0, a)]
+    got = op.deduplicated(make_docs(*rows), 10, 3).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got), key=str) == sorted(brute(rows, 10), key=str)
