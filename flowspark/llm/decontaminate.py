@@ -7,7 +7,7 @@ verified by banded alignment. Nothing is sampled: the bound loses no match.
 
 Text is lower-cased and runs of white space count as one space. k is `error_rate` of the item's length, lowered where a
 short item could not keep `MIN_SHARED` q-grams; an item shorter than q + MIN_SHARED - 1 characters says nothing about a leak
-and never matches. The benchmark is taken in blocks of `BLOCK_CHARS` characters; each block is a stated query set that
+and never matches. Only a whole item counts: part of one, however long, is no match. The benchmark is taken in blocks of `BLOCK_CHARS` characters; each block is a stated query set that
 is held against all documents where they lie, so neither driver nor tasks hold more than one block's index.
 
 Defined results: null and empty texts are clean; null ids are kept as they are; repeated rows are judged each on their
@@ -202,7 +202,7 @@ def _with_block(docs: DataFrame, block: list, text_col: str, out: str, q: int, r
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs without the rows that share a passage with the benchmark; all columns as they are."""
+    """docs without the rows that hold a whole item of the benchmark (within its edit budget); all columns as they are."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
     return with_matches(rows, benchmark).where(F.size("_leaks") == 0).select("row.*")
 
