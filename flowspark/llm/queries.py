@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from flowspark.llm import chat_format, decontaminate, exact_dedup, language, ngram_join, packing, quality, substring_dedup, suffix_dedup, toxicity
+from flowspark.llm import (
+    chat_format,
+    decontaminate,
+    exact_dedup,
+    hard_negatives,
+    language,
+    ngram_join,
+    packing,
+    quality,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+)
 
 QUERIES = {
     "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
@@ -15,9 +27,11 @@ QUERIES = {
     "op4_packing": packing.op4_packing,
     "op8_chat_format": chat_format.op8_chat_format,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
 }
 ORACLES = {
     "op1_substring_dedup": substring_dedup.ORACLE,
     "op8_chat_format": chat_format.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
