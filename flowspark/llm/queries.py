@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from flowspark.llm import (
+    alignment,
     chat_format,
     decontaminate,
     exact_dedup,
@@ -27,6 +28,7 @@ QUERIES = {
     "op4_packing": packing.op4_packing,
     "op8_chat_format": chat_format.op8_chat_format,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op11_alignment": alignment.op11_alignment,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
 }
 ORACLES = {
