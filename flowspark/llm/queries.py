@@ -11,6 +11,7 @@ from flowspark.llm import (
     language,
     ngram_join,
     packing,
+    personal_data,
     quality,
     substring_dedup,
     suffix_dedup,
@@ -30,6 +31,7 @@ QUERIES = {
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op11_alignment": alignment.op11_alignment,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_personal_data": personal_data.op13_personal_data,
 }
 ORACLES = {
     "op1_substring_dedup": substring_dedup.ORACLE,
