@@ -243,9 +243,8 @@ def _read(docs: DataFrame) -> DataFrame:
 
 def _graph(found: DataFrame) -> DataFrame:
     """Written edges (pattern, value, kind, fits): each pattern with each of its distinct values. kind: that of a seed."""
-    nodes = found.groupBy("value").agg(F.min(F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))).alias("_kind"))
     # Of several kinds a value may have, the first listed.
-    nodes = nodes.select("value", F.element_at(F.array(*map(F.lit, KINDS)), F.col("_kind").cast("int")).alias("kind"))
+    nodes = found.groupBy("value").agg(F.min_by("kind", _order(F.col("kind"))).alias("kind"))
     edges = found.select(F.explode("patterns").alias("pattern"), "value", "fits").groupBy("pattern", "value").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("fits")))).alias("fits"))
     return materialize(materialize(edges, "edges").join(materialize(nodes, "values"), "value"), "graph")
@@ -283,19 +282,26 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     _, values = score(graph)
 
     # Open mentions of confident values, and of values that have a fixed form elsewhere.
-    order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     known = graph.where("kind IS NOT NULL").select("value", "kind").distinct().withColumn("confidence", F.lit(1.0)).unionByName(values)
     open_ = found.where("kind IS NULL").drop("kind", "patterns")
     new = open_.join(materialize(known, "known"), "value").where(F.array_contains("fits", F.col("kind"))).groupBy("row", "start", "end").agg(
-        F.max_by("kind", F.struct("confidence", -order)).alias("kind"))
+        F.max_by("kind", F.struct("confidence", -_order(F.col("kind")))).alias("kind"))
     new = materialize(new, "new").groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("_new"))
     sort = lambda spans: F.array_sort(spans, lambda a, b: F.when(_key(a) < _key(b), -1).when(_key(a) > _key(b), 1).otherwise(0))
     return read.where("base IS NOT NULL").drop("mentions").join(new, "row", "left").select(
         "doc_id", "base", F.when(F.col("_new").isNull(), F.col("base")).otherwise(sort(F.concat("base", "_new"))).alias("spans"))
 
 
+def _order(kind):
+    """Place of a kind in KINDS; null for none."""
+    place = F.lit(None).cast("int")
+    for i, k in enumerate(KINDS):
+        place = F.when(kind == k, i).otherwise(place)
+    return place
+
+
 def _key(span):
-    return F.struct(F.array_position(F.array(*map(F.lit, KINDS)), span.kind), span.start, span.end)
+    return F.struct(_order(span.kind), span.start, span.end)
 
 
 def learned_patterns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
