@@ -158,6 +158,7 @@ def removed_spans(source: DataFrame, window: int = WINDOW, gram: int = GRAM, siz
     """Places with the word ranges to remove: _none, _id, _h, _n, spans (array of from, to; may overlap)."""
     mers = materialize(super_mers(source, word_symbols, window, gram, size=size).drop("anchors"), "supermers")
     shared = mers.groupBy("m").agg(F.min("_id").alias("x"), F.max("_id").alias("y")).where("x < y").select("m")
+    shared = materialize(shared, "shared_minimisers")  # written, so that a hot minimiser's side of the join can be split
     mine = materialize(mers.join(shared, "m"), "shared_supermers")
 
     strings = mine.groupBy("m", "s").agg(

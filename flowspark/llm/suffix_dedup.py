@@ -222,6 +222,7 @@ def removed_spans(source: DataFrame, window: int = WINDOW, gram: int = GRAM, siz
     """Places with the byte ranges to remove: _none, _id, _h, _n, spans (array of from, to; may overlap)."""
     mers = materialize(super_mers(source, byte_symbols, window, gram, anchors=True, size=size), "supermers")
     shared = mers.groupBy("m").agg(F.sum("anchors").alias("n")).where("n > 1").select("m")
+    shared = materialize(shared, "shared_minimisers")  # written, so that a hot minimiser's side of the join can be split
     mine = materialize(mers.join(shared, "m").drop("anchors"), "shared_supermers")
 
     strings = materialize(mine.groupBy("m", "s").agg(

@@ -2,8 +2,8 @@
 
 The vocabulary's pre-tokenizer never joins characters across white space, and within plain Latin text it yields runs of
 letters, single digits, runs of other signs, and the English contractions. So such text is split by numpy, every new
-word is encoded by the library's own model, and known words are looked up by a 64-bit hash. Any text with other
-characters goes to the library whole.
+word is encoded by the library's own model, and known words are looked up by a 64-bit hash; their bytes are then compared,
+and a text with a word that only shares the hash goes to the library. Any text with other characters goes there whole.
 """
 
 from __future__ import annotations
@@ -59,6 +59,9 @@ class WordTokenizer:
         self.at = np.empty(0, np.int64)
         self.count = np.empty(0, np.int64)
         self.flat = np.empty(0, np.uint32)
+        self.word_at = np.empty(0, np.int64)
+        self.word_size = np.empty(0, np.int64)
+        self.spelt = np.empty(0, np.uint8)
 
     def ids(self, data: np.ndarray) -> np.ndarray:
         """uint32 ids of one text given as UTF-8 bytes."""
@@ -132,12 +135,30 @@ class WordTokenizer:
         keys, some, back = np.unique(keys, return_index=True, return_inverse=True)
         where = self._known(keys, low, first[some], last[some])
         slot = where[back]
+        wrong = self._differ(slot, low, first, last)
+        if len(wrong):
+            bad = np.zeros(len(ends) - 1, np.int64)
+            bad[np.searchsorted(ends, first[wrong], "right") - 1] = 1
+            return self._mixed(data, ends, bad)
         count = self.count[slot]
         cut = np.zeros(len(slot) + 1, np.int64)
         np.cumsum(count, out=cut[1:])
         ids = self.flat[np.repeat(self.at[slot] - cut[:-1], count) + np.arange(cut[-1])]
         return ids, cut[np.searchsorted(first, ends)]
 
+    def _differ(self, slot, low, first, last):
+        """Words whose bytes are not those remembered under their hash."""
+        size = last - first
+        other = self.word_size[slot] != size
+        same = np.flatnonzero(~other)
+        n = size[same]
+        cut = np.cumsum(n) - n
+        step = np.arange(n.sum())
+        apart = low[np.repeat(first[same] - cut, n) + step] != self.spelt[np.repeat(self.word_at[slot[same]] - cut, n) + step]
+        if apart.any():
+            other[same[np.searchsorted(cut, np.flatnonzero(apart), "right") - 1]] = True
+        return np.flatnonzero(other)
+
     @staticmethod
     def _contractions(low, kind, start, ends):
         n = len(low)
@@ -160,9 +181,10 @@ class WordTokenizer:
         hit[inside] = self.keys[at[inside]] == keys[inside]
         new = np.flatnonzero(~hit)
         if len(new):
-            raw, made, sizes = low.tobytes(), [], []
+            raw, made, sizes, spelt = low.tobytes(), [], [], []
             for i in new:
-                word = raw[first[i]:last[i]].decode("latin-1").translate(self.stand_ins)
+                spelt.append(raw[first[i]:last[i]])
+                word = spelt[-1].decode("latin-1").translate(self.stand_ins)
                 got = [t.id for t in self.model.tokenize(word)]
                 made += got
                 sizes.append(len(got))
@@ -170,6 +192,10 @@ class WordTokenizer:
             begin = len(self.flat) + np.cumsum(sizes) - sizes
             self.flat = np.concatenate([self.flat, np.array(made, np.uint32)])
             self.count = np.insert(self.count, at[new], sizes)
+            long = np.array([len(w) for w in spelt], np.int64)
+            self.word_at = np.insert(self.word_at, at[new], len(self.spelt) + np.cumsum(long) - long)
+            self.word_size = np.insert(self.word_size, at[new], long)
+            self.spelt = np.concatenate([self.spelt, np.frombuffer(b"".join(spelt), np.uint8)])
             self.at = np.insert(self.at, at[new], begin)
             self.keys = np.insert(self.keys, at[new], keys[new])
             at = np.searchsorted(self.keys, keys)

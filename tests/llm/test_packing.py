@@ -83,3 +83,15 @@ def test_little_padding(spark, make_docs):
 
 def test_empty(empty_docs):
     assert op.pack_documents(empty_docs, op.default_tokenizer()).count() == 0
+
+
+def test_words_that_share_a_hash_keep_their_own_ids(words, monkeypatch):
+    """Words of two letters in the order of Thue and Morse collide under any odd base modulo a power of two."""
+    for n in (1024, 2048, 4096):
+        x = "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+        y = x.translate(str.maketrans("ab", "ba"))
+        for texts in ([f"in {x} out", f"in {y} out", y], [f"{x} {y} {x}", y]):
+            raw = [t.encode() for t in texts]
+            ids, cuts = words.batch(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+            for i, t in enumerate(texts):
+                assert list(ids[cuts[i]:cuts[i + 1]]) == words.whole.encode(t, add_special_tokens=False).ids

@@ -112,3 +112,17 @@ def test_null_ids_with_one_32_bit_hash(spark, make_docs):
     rows = [(None, a), (None, b), (0, a)]
     got = op.deduplicated(make_docs(*rows), 10, 3).collect()
     assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got), key=str) == sorted(brute(rows, 10), key=str)
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_structured_words_and_sequences_do_not_collide(make_docs, n):
+    """Words and word sequences in the order of Thue and Morse collide under any polynomial hash modulo a power of two."""
+    def order(a, b):
+        return [(a, b)[bin(i).count("1") & 1] for i in range(n)]
+
+    x, y = "".join(order("a", "b")), "".join(order("b", "a"))
+    around = [f"w{i}" for i in range(30)]
+    rows = [(0, " ".join([*around, x, *around])), (1, " ".join([*around, y, *around])), (2, " ".join([*around, x, *around])),
+            (3, " ".join(order("l", "r"))), (4, " ".join(order("r", "l")))]
+    got = op.deduplicated(make_docs(*rows), window=50, gram=8).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == sorted(brute(rows, 50))

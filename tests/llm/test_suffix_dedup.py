@@ -84,3 +84,12 @@ def test_null_ids_with_one_32_bit_hash(spark, make_docs):
     rows = [(None, a), (None, b), (0, a)]
     got = op.deduplicated(make_docs(*rows), 30, 8).collect()
     assert sorted(((r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), bytes(r.kept)) for r in got), key=str) == sorted(brute(rows, 30), key=str)
+
+
+def test_structured_bytes_do_not_collide(make_docs):
+    def order(n, a, b):
+        return "".join((a, b)[bin(i).count("1") & 1] for i in range(n))
+
+    rows = [(i, order(n, a, b) + "." * i) for i, (n, a, b) in enumerate([(1024, "a", "b"), (1024, "b", "a"), (4096, "c", "d"), (4096, "d", "c"), (300, "e", "f")])]
+    got = op.deduplicated(make_docs(*rows), window=200, gram=16).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), bytes(r.kept)) for r in got) == sorted(brute(rows, 200))
