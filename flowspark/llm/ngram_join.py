@@ -37,6 +37,8 @@ NUM, DEN = 80, 100
 #: n-grams moved to the end of the order, at most; they only steer which n-grams are indexed.
 FREQUENT = 100_000
 FREQUENT_FROM = 64
+#: Hashes that several sets share, looked up in the tasks up to this many (none is likely, whatever the corpus).
+TWINS = 10_000
 #: Members of a group in one task; larger groups go as pairs of blocks.
 BLOCK = 4096
 #: Texts named by fewer rows than this are fetched by a broadcast of their ids, by a shuffled join beyond it.
@@ -150,8 +152,14 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
     return n - -(-NUM * n // DEN) + 1
 
 
-def _prefixes(docs: DataFrame, frequent: np.ndarray, renamed: np.ndarray, words: int) -> DataFrame:
-    """(gram, sid, hot) of every set's prefix."""
+def _named(rows: DataFrame, twins: DataFrame) -> DataFrame:
+    """rows (d1, d2) with sid: the first hash, or one of both where different sets share the first."""
+    told = twins.select("d1", F.lit(True).alias("_twin"))
+    return rows.drop("sid").join(told, "d1", "left").withColumn("sid", F.when(F.col("_twin"), F.col("d1").bitwiseXOR(F.col("d2"))).otherwise(F.col("d1"))).drop("_twin")
+
+
+def _prefixes(docs: DataFrame, frequent: np.ndarray, renamed: np.ndarray | None, words: int) -> DataFrame:
+    """(gram, sid, d1, d2, hot) of every set's prefix; sid only if `renamed` says which sets share a hash, else d1 and d2."""
     shared = docs.sparkSession.sparkContext.broadcast((frequent, renamed))
 
     def run(batches):
@@ -161,7 +169,7 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray, renamed: np.ndarray, words:
             for _, _, data, ends in slices(batch.column(0)):
                 gram, cuts = shingles(data, ends, words)
                 d1, d2 = digests(gram, cuts)
-                sid = np.where(np.isin(d1, other), mixed(d2), d1) if len(other) else d1
+                sid = np.where(np.isin(d1, other), d1 ^ d2, d1) if other is not None else d1 ^ (d2 * np.uint64(3))
                 _, one = np.unique(sid, return_index=True)
                 keep = np.zeros(len(sid), bool)
                 keep[one] = True
@@ -173,11 +181,15 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray, renamed: np.ndarray, words:
                     gram, place = gram[turn], place[turn]
                 pos = np.arange(len(gram)) - cuts[:-1][owner]
                 take = (pos < prefix_length(n)[owner]) & keep[owner]
+                mine = owner[take]
+                none = pa.nulls(len(mine), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram[take].view(np.int64)), pa.array(sid[owner[take]].view(np.int64)),
-                     pa.array(place[take] >= np.uint64(1 << 63))], names=["gram", "sid", "hot"])
+                    [pa.array(gram[take].view(np.int64)), pa.array(place[take] >= np.uint64(1 << 63)),
+                     *((pa.array(sid[mine].view(np.int64)), none, none) if other is not None
+                       else (none, pa.array(d1[mine].view(np.int64)), pa.array(d2[mine].view(np.int64))))],
+                    names=["gram", "hot", "sid", "d1", "d2"])
 
-    return docs.mapInArrow(run, "gram long, sid long, hot boolean")
+    return docs.mapInArrow(run, "gram long, hot boolean, sid long, d1 long, d2 long")
 
 
 def _memberships(prefixes: DataFrame) -> DataFrame:
@@ -194,7 +206,7 @@ def _memberships(prefixes: DataFrame) -> DataFrame:
 
 def _dealt(members: DataFrame) -> DataFrame:
     """members with their block and the pairs of blocks they take part in (a <= b)."""
-    sizes = members.groupBy("pivot").agg(F.count(F.lit(1)).alias("_k"))
+    sizes = materialize(members.groupBy("pivot").agg(F.count(F.lit(1)).alias("_k")), "sizes")
     many = F.ceil(F.col("_k") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("sid"), many).cast("int")
     return (
@@ -362,19 +374,21 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFram
     frequent = np.array([r.gram for r in reversed(top)], np.int64).view(np.uint64)
 
     rows = made.where("gram IS NULL").drop("gram", "docs")
-    twins = rows.groupBy("d1").agg(F.min("d2").alias("x"), F.max("d2").alias("y")).where("x <> y").limit(100_000).collect()
-    renamed = np.array([r.d1 for r in twins], np.int64).view(np.uint64)  # sets that share a 64-bit hash: a handful at most
-    if len(renamed):
-        other = F.udf(lambda d: int(mixed(np.array([d], np.int64).view(np.uint64)).view(np.int64)[0]), "long")
-        sid = F.when(F.col("d1").isin([r.d1 for r in twins]), other("d2")).otherwise(F.col("d1"))
+    # Different sets that share a 64-bit hash get their second one as name. Few are looked up where prefixes are made; with
+    # more than that, prefixes bring both hashes and are named by a join.
+    twins = materialize(rows.groupBy("d1").agg(F.min("d2").alias("x"), F.max("d2").alias("y")).where("x <> y").select("d1"), "twins")
+    few = twins.limit(TWINS + 1).collect()
+    renamed = np.array([r.d1 for r in few], np.int64).view(np.uint64) if len(few) <= TWINS else None
+    if len(few):
+        rows = _named(rows, twins)
     else:
-        sid = F.col("d1")
-    rows = rows.withColumn("sid", sid)
+        rows = rows.withColumn("sid", F.col("d1"))
     classes = materialize(rows.where("n > 0").groupBy("sid").agg(
         F.min("doc_id").alias("least_id"), F.min(F.struct(*_place())).alias("place"), F.count(F.lit(1)).alias("weight"),
         F.min("n").alias("n"), F.min("bits").alias("bits"), F.min("d1").alias("d1"), F.min("d2").alias("d2")), "classes")
 
-    prefixes = materialize(_prefixes(source.select("text"), frequent, renamed, words), "prefixes")
+    prefixes = _prefixes(source.select("text"), frequent, renamed, words)
+    prefixes = materialize((prefixes if renamed is not None else _named(prefixes, twins)).select("gram", "sid", "hot"), "prefixes")
     members = materialize(_memberships(prefixes), "members")
     pivots = members.groupBy("sid").agg(F.sort_array(F.collect_list("pivot")).alias("pivots"))
     about = pivots.join(classes, "sid")

@@ -114,3 +114,31 @@ def test_counts_are_derived_from_a_similar_set():
     total, links = op.links_of(sets, np.ones(40, np.int64), lambda m: np.arange(40) != m)
     want = [sum(len(np.intersect1d(a, b)) * 100 >= 80 * len(np.union1d(a, b)) for j, b in enumerate(sets) if j != i) for i, a in enumerate(sets)]
     assert total.tolist() == want and len(links) <= 39
+
+
+def thue_morse(n, a, b):
+    return [(a, b)[bin(i).count("1") & 1] for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_structured_words_and_sequences_do_not_collide(spark, make_docs, n):
+    x, y = "".join(thue_morse(n, "a", "b")), "".join(thue_morse(n, "b", "a"))
+    rows = [(i, f"one two three {w} four five") for i, w in enumerate([x, y, x])]
+    rows += [(3, x), (4, y), (5, " ".join(thue_morse(n, "left", "right")) + " end"), (6, " ".join(thue_morse(n, "right", "left")) + " end")]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in op.near_duplicates(make_docs(*rows)).collect()}
+    assert [got[i] for i in range(7)] == brute(rows)
+
+
+@pytest.mark.parametrize("twins", [op.TWINS, 0])
+def test_sets_that_share_a_hash_stay_apart(spark, make_docs, monkeypatch, twins):
+    monkeypatch.setattr(op, "TWINS", twins)
+    honest = op.digests
+
+    def colliding(gram, cuts):
+        d1, d2 = honest(gram, cuts)
+        return d1 % np.uint64(5), d2
+
+    monkeypatch.setattr(op, "digests", colliding)
+    rows = list(enumerate(texts(4, 40)))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in op.near_duplicates(make_docs(*rows)).collect()}
+    assert [got[i] for i, _ in rows] == brute(rows)
