@@ -1,6 +1,8 @@
 r"""Chat formatting by a finite-state machine over roles and a declarative template; DataFrame functions only.
 
-A template names, for each role, the marks before and after its text and whether the text counts for the loss. Control
+A template names, for each role, the marks before and after its text and whether the text counts for the loss, and which
+roles may follow which. The machine's state is the role before (or the start); from the first turn that may not follow
+on it is in error, and every segment from there on is marked so. Control
 strings inside texts are broken by a backslash after their first character, and backslashes are doubled, so no text can
 contain a mark and the original comes back exactly. `read_back` restores the turns from the formatted string alone and
 the loss text from the segments' offsets.
@@ -63,38 +65,45 @@ def segments(rows: DataFrame, template: Template = LLAMA_LIKE) -> DataFrame:
                        escape(text, template).alias("body"), after.alias("after"), loss.alias("loss"))
 
 
-def _final_state(roles: Column, template: Template) -> Column:
-    """State after all roles; 'error' once a role may not follow."""
-    moves = F.lit(False)
-    step = lambda state, role: F.when(
-        _any([(state == s) & role.isin(*nexts) for s, nexts in template.turns.items()], moves), role).otherwise(F.lit("error"))
-    return F.aggregate(roles, F.lit(""), step)
+def _may_follow(state: Column, role: Column, template: Template) -> Column:
+    """Whether the machine has a move from a state by a role; a role's name is the state after it."""
+    out = F.lit(False)
+    for s, nexts in template.turns.items():
+        out = out | ((state == s) & role.isin(*nexts))
+    return out
 
 
-def _any(conditions: list[Column], none: Column) -> Column:
-    out = none
-    for c in conditions:
-        out = out | c
-    return out
+def _first_wrong(turns: Column, template: Template) -> Column:
+    """Number (from 0) of the first turn the machine has no move for; null if all may follow."""
+    state = lambda i: F.when(i == 0, F.lit("")).otherwise(F.get(turns, i - 1).role)
+    moves = F.transform(turns, lambda x, i: _may_follow(state(i), x.role, template))
+    at = F.array_position(moves, False)
+    return F.when(at > 0, at - 1).cast("long")
 
 
 def format_chat(rows: DataFrame, template: Template = LLAMA_LIKE) -> DataFrame:
-    """One row per conversation: formatted, segments (text, loss) in order, loss_spans, turns_valid.
+    """One row per conversation: formatted, segments (text, loss, state) in order, first_wrong_turn, turns_valid.
+
+    state: the role the machine is in, or `error` from the first wrong turn on. turns_valid: it ends in a final state.
 
     rows: conv_id, turn, role, text. A conversation is one string, so its turns meet in one row by definition.
     """
     turns = F.sort_array(F.collect_list(F.struct("turn", "role", "text", "before", "body", "after", "loss")))
     grouped = segments(rows, template).groupBy("conv_id").agg(turns.alias("t"))
-    pieces = F.concat(
-        F.array(F.struct(F.lit(template.start).alias("text"), F.lit(False).alias("loss"))),
-        F.flatten(F.transform("t", lambda x: F.array(
-            F.struct(x.before.alias("text"), F.lit(False).alias("loss")),
-            F.struct(x.body.alias("text"), x.loss.alias("loss")),
-            F.struct(x.after.alias("text"), F.lit(False).alias("loss"))))))
-    state = _final_state(F.transform("t", lambda x: x.role), template)
-    return grouped.select(
-        "conv_id", pieces.alias("segments"), state.isin(*template.final).alias("turns_valid"),
-    ).withColumn("formatted", F.array_join(F.transform("segments", lambda s: s.text), ""))
+    told = grouped.withColumn("first_wrong_turn", _first_wrong(F.col("t"), template))
+
+    def piece(text, loss, state):
+        return F.struct(text.alias("text"), loss.alias("loss"), state.alias("state"))
+
+    def three(x, i):
+        state = F.when(i >= F.col("first_wrong_turn"), F.lit("error")).otherwise(x.role)
+        return F.array(piece(x.before, F.lit(False), state), piece(x.body, x.loss, state), piece(x.after, F.lit(False), state))
+
+    start = F.array(piece(F.lit(template.start), F.lit(False), F.lit("")))
+    pieces = F.concat(start, F.flatten(F.transform("t", three)))
+    return told.select("conv_id", pieces.alias("segments"), "first_wrong_turn").withColumn(
+        "turns_valid", F.element_at("segments", -1).state.isin(*template.final)).withColumn(
+        "formatted", F.array_join(F.transform("segments", lambda s: s.text), ""))
 
 
 def read_back(formatted: DataFrame, template: Template = LLAMA_LIKE) -> DataFrame:
@@ -136,13 +145,18 @@ WITH c AS (
 e AS (
   SELECT *, length(text) + length(regexp_replace(text, '[^\\]', '', 'g'))
     + (length(regexp_replace(text, '</?s>|<</?SYS>>|\[/?INST\]|\[ANS\]|\[/?ROLE', chr(1) || '\0', 'g')) - length(text))
-    + CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 16 WHEN 'assistant' THEN 12 END AS n FROM c)
+    + CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 16 WHEN 'assistant' THEN 12 END AS n FROM c),
+f AS (
+  SELECT *, row_number() OVER w - 1 AS place, (coalesce(lag(role) OVER w, '') || '>' || role) IN
+    ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user') AS fits
+  FROM e WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
   sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  (3 + sum(n))::BIGINT AS formatted_chars
-FROM e GROUP BY conv_id
+  (3 + sum(n))::BIGINT AS formatted_chars,
+  min(place) FILTER (NOT fits) AS first_wrong_turn, bool_and(fits) AND arg_max(role, place) = 'assistant' AS turns_valid
+FROM f GROUP BY conv_id
 """
 
 
@@ -157,4 +171,4 @@ def op8_chat_format(spark, sf_dir: str) -> DataFrame:
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.encode(told, "utf-8"), 256).alias("turns_sha256"),
         F.length(loss).cast("long").alias("loss_chars"), F.sha2(F.encode(loss, "utf-8"), 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"))
+        F.length("formatted").cast("long").alias("formatted_chars"), "first_wrong_turn", "turns_valid")

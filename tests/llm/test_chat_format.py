@@ -40,6 +40,24 @@ def test_nulls_order_and_states(spark):
     assert len(got[4].turns) == 2 and len(got[5].loss_texts[0]) == 200_000
 
 
+def test_machine_marks_segments_from_the_first_wrong_turn_on(spark):
+    roles = {1: ["user", "assistant", "assistant", "user"], 2: ["system", "user", "assistant"], 3: ["assistant"], 4: ["user"], 5: ["tool", "user"],
+             6: ["user", "system"]}
+    got = back(spark, [(c, t, r, "x") for c, rs in roles.items() for t, r in enumerate(rs)])
+    assert {c: r.first_wrong_turn for c, r in got.items()} == {1: 2, 2: None, 3: 0, 4: None, 5: 0, 6: 1}
+    assert {c: r.turns_valid for c, r in got.items()} == {1: False, 2: True, 3: False, 4: False, 5: False, 6: False}
+    assert [s.state for s in got[1].segments] == [""] + ["user"] * 3 + ["assistant"] * 3 + ["error"] * 6
+    looser = op.Template(turns=op.LLAMA_LIKE.turns | {"assistant": ("user", "assistant")})
+    df = spark.createDataFrame([(1, t, r, "x", "") for t, r in enumerate(roles[1])], DDL)
+    assert op.format_chat(df, looser).first().first_wrong_turn is None  # the template decides, not the rows
+
+
+def test_query_returns_the_verdict(spark):
+    rows = op.op8_chat_format(spark, "/root/testdata/sf0.001")
+    assert {"first_wrong_turn", "turns_valid"} <= set(rows.columns)
+    assert "array_position" in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_empty(spark):
     assert op.read_back(op.format_chat(spark.createDataFrame([], DDL))).count() == 0
 
