@@ -4,7 +4,7 @@ A word is a run of letters. Its features are hashed affixes (2 to 4 bytes at eit
 edges, and the word itself (the learned lexicon); a transition matrix is learned with them. Forward-backward gives every
 word's probability of each language; a document's language is the one with most expected letters and its score that share.
 
-The model is fitted on at most `MAX_DOCS` documents: from each, two stretches of words drawn anywhere in the text are
+The model is fitted on at most `MAX_DOCS` documents, some hundreds of each language first: from each, two stretches of words drawn anywhere in the text are
 joined with stretches of other documents, so that transitions between languages occur in the fitting data. Prediction
 covers every whole text; the chain runs over blocks of `BLOCK` words, so a text of any length takes bounded memory.
 
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.llm.labelled import fetched, held_out
+from flowspark.llm.labelled import bounded_sample, held_out, named, one_each
 from flowspark.llm.toxicity import lowered
 from flowspark.llm.words import BASE, IS_LETTER, SLICE, held_powers, inverse, mixed, slices, spans
 
@@ -208,7 +208,7 @@ def _joined_features(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.
 def learn(docs: DataFrame, max_docs: int = MAX_DOCS) -> Tagger:
     """Fit on at most max_docs documents with a language that are not held out. docs: doc_id, text, lang."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    sample = usable.select("doc_id", F.xxhash64("doc_id").alias("_h")).orderBy("_h", "doc_id").limit(max_docs).select("doc_id").distinct()
+    sample = bounded_sample(usable.select("doc_id", "lang"), max_docs, "lang").select("doc_id")
 
     @F.pandas_udf("array<string>")
     def stretches(text: pd.Series) -> pd.Series:
@@ -220,8 +220,8 @@ def learn(docs: DataFrame, max_docs: int = MAX_DOCS) -> Tagger:
             out.append([" ".join(words[s:s + STRETCH]) for s in dict.fromkeys(starts.tolist())])
         return pd.Series(out)
 
-    got = fetched(usable.select("doc_id", "text", "lang"), sample) \
-        .select("lang", F.explode(stretches("text")).alias("stretch")).toPandas().sort_values(["lang", "stretch"])
+    drawn = named(usable.select("doc_id", "text", "lang"), sample).select("doc_id", "lang", stretches("text").alias("drawn"))
+    got = one_each(drawn).select("lang", F.explode("drawn").alias("stretch")).toPandas().sort_values(["lang", "stretch"])
     languages = sorted(set(got["lang"]))
     number = {name: i for i, name in enumerate(languages)}
     return fit(got["stretch"].tolist(), got["lang"].map(number).to_numpy(np.int64), languages)

@@ -5,7 +5,7 @@ estimated, the covariance shrunk towards the pooled one and towards a multiple o
 of the difference of the class log densities (Mahalanobis distances by cached Cholesky factors) and log priors. A
 one-dimensional logistic fit on the training rows turns that difference into a probability.
 
-Fitting takes at most `MAX_ROWS` labelled rows; scoring covers every whole text.
+Fitting takes at most `MAX_ROWS` labelled ids, one row each; scoring covers every whole text.
 
 Defined results: null and empty texts have the statistics of no words and get a score like any other; null ids are not
 held out; repeated rows score alike; with no labels, or one class only, every score is that class's share (0.5 without
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.llm.labelled import bounded_sample, fetched, held_out
+from flowspark.llm.labelled import bounded_sample, held_out, named, one_each
 from flowspark.llm.words import IS_LETTER, slices, span_hashes, spans
 
 MAX_ROWS = 30_000
@@ -170,7 +170,7 @@ def _logistic(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Discriminant | Constant:
     """Fit on at most max_rows labelled rows that are not held out. docs: doc_id, text; labels: doc_id, label."""
     usable = labels.where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", "label")
-    got = _statistics_of(fetched(docs, bounded_sample(usable, max_rows))).toPandas()
+    got = one_each(_statistics_of(named(docs.select("doc_id", "text"), bounded_sample(usable, max_rows)))).toPandas()
     x = np.array(got["x"].tolist(), float).reshape(len(got), len(STATISTICS))
     return fit(x, got["label"].to_numpy(int))
 
@@ -180,7 +180,7 @@ def _statistics_of(rows: DataFrame) -> DataFrame:
     def stats(text: pd.Series) -> pd.Series:
         return pd.Series(list(statistics(pa.array(text, pa.string()))))
 
-    return rows.select(F.col("label").cast("int").alias("label"), stats("text").alias("x"))
+    return rows.select("doc_id", F.col("label").cast("int").alias("label"), stats("text").alias("x"))
 
 
 def score(docs: DataFrame, model: Discriminant | Constant, text_col: str = "text", out: str = "score") -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.llm.labelled import bounded_sample, fetched
+from flowspark.llm.labelled import bounded_sample, named, one_each
 from flowspark.llm.words import IS_LETTER, LOWER, mixed, slices, span_hashes, spans
 from flowspark.session import materialize
 
@@ -165,9 +165,9 @@ def vocabulary(rows: DataFrame, size: int = TERMS) -> np.ndarray:
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """text, label and fold of at most max_rows labelled documents. labels: doc_id, label (0/1)."""
+    """text, label and fold of a bounded sample of labelled documents, one row for each id. labels: doc_id, label (0/1)."""
     usable = labels.where(F.col("label").isin(0, 1)).select("doc_id", F.col("label").cast("int").alias("label"))
-    rows = fetched(docs.select("doc_id", "text"), bounded_sample(usable, max_rows))
+    rows = one_each(named(docs.select("doc_id", "text"), bounded_sample(usable, max_rows)))
     return rows.select(F.coalesce("text", F.lit("")).alias("text"), "label",
                        F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"))
 
