@@ -90,10 +90,11 @@ def _squeeze(thr, *outs):
     return (thr[differs], *(np.append(o[:-1][differs], o[-1]) for o in outs)) if not keep.all() else (thr, *outs)
 
 
-def run_table(pkt, ts, direction, fin, hard, active_us, max_before: int) -> dict:
+def run_table(pkt, ts, direction, fin, hard, active_us, max_before: int, min_before: int = -NEVER - 1) -> dict:
     """The run as a function of the entry state: {fins seen: (thresholds, pkt, ts, dir, fins, flows)}.
 
-    `flows` counts the flows started in the run; 0 means the entry flow is still open.
+    `flows` counts the flows started in the run; 0 means the entry flow is still open. max_before and min_before bound
+    the times of all packets before the run: no entry flow started outside them.
     """
     n = len(ts)
     nxt = next_starts(ts, fin, hard, active_us)
@@ -122,6 +123,7 @@ def run_table(pkt, ts, direction, fin, hard, active_us, max_before: int) -> dict
             top = np.maximum.accumulate(ts[:stop])
             at = np.flatnonzero(np.append(True, top[1:] > top[:-1]))
             thr = top[at] - active_us
+            thr, at = (x[np.searchsorted(thr, min_before, side="right"):] for x in (thr, at))
         known = np.searchsorted(thr, max_before, side="right")
         if known < len(thr):  # no entry flow started that late
             thr, outs = thr[:known], outcome(at[:known + 1])

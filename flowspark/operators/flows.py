@@ -6,8 +6,11 @@ ended the flow (RST, or the second FIN).
 
 Connections of ordinary size run on window functions. Only stretches that outlast the active
 timeout need a fold, since that rule depends on where the flow began. Connections of more than
-`heavy_packets` packets are cut into blocks of consecutive packet numbers; each block is reduced to a step function, the functions are chained in a tree, and the blocks are then marked
-in parallel (see functions/cuts.py). No task ever holds more than a block or `fan_in` tables.
+`heavy_packets` packets are cut into blocks of consecutive packet numbers; each block is reduced to a step function from
+the state before it to the state after it (functions/cuts.py), and once the state before each block is known the blocks
+are marked in parallel. Where a connection's functions have few steps in all, one row of at most `table_steps` steps runs
+through them; where they have many (very many packets within one active timeout, again and again), the steps are rows that
+are composed by range joins (flow_steps.py). No row holds more than a block or `table_steps` steps.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowspark.functions import cuts
+from flowspark.operators import flow_steps
 from flowspark.session import materialize
 
 KEY = ["capture_id", "lo_ip", "lo_port", "hi_ip", "hi_port", "protocol"]
@@ -41,8 +45,9 @@ class FlowConfig:
     use_rst: bool = True
     use_fin: bool = True
     heavy_packets: int = 1 << 20
-    block_packets: int = 1 << 20
-    fan_in: int = 64
+    block_packets: int = 8192
+    fan_in: int = 4
+    table_steps: int = 16_384
 
     def only(self, **rules) -> FlowConfig:
         """Same timeouts with just the named rules on."""
@@ -245,6 +250,7 @@ def _block_rows(hot: DataFrame) -> DataFrame:
     last_of = [F.max(F.when(F.col("dir") == d, F.struct("pkt_no", "ts_us"))).alias(f"last{d}") for d in (0, 1)]
     return hot.groupBy(*_BLOCK).agg(
         packets.alias("rows"), F.max_by(F.struct("ts_us", "flags"), "pkt_no").alias("tail"), F.max("ts_us").alias("max_ts"),
+        F.min("ts_us").alias("min_ts"),
         *last_of,
     )
 
@@ -256,7 +262,7 @@ def _block_carry(blocks: DataFrame) -> DataFrame:
     last = {d: F.last(f"last{d}", ignorenulls=True).over(before) for d in (0, 1)}
     return blocks.select(
         *_BLOCK, F.lag("tail.ts_us").over(w).alias("c_prev_ts"), F.lag("tail.flags").over(w).alias("c_prev_flags"),
-        F.max("max_ts").over(before).alias("max_before"),
+        F.max("max_ts").over(before).alias("max_before"), F.min("min_ts").over(before).alias("min_before"),
         *[last[d][c].alias(f"c_last{d}_{c}") for d in (0, 1) for c in ("pkt_no", "ts_us")],
     )
 
@@ -277,7 +283,7 @@ def _carry_array(cfg: FlowConfig) -> Column:
     return F.array(
         F.col("c_prev_ts").isNotNull().cast("bigint"), F.coalesce("c_prev_ts", zero),
         F.coalesce(F.col("c_prev_flags").cast("bigint"), zero), _gap_limit(cfg).cast("bigint"),
-        F.coalesce("max_before", F.lit(np.iinfo(np.int64).min)),
+        F.coalesce("max_before", F.lit(np.iinfo(np.int64).min)), F.coalesce("min_before", F.lit(np.iinfo(np.int64).min)),
     )
 
 
@@ -286,7 +292,7 @@ def _tables(cfg: FlowConfig):
         out = []
         for p, t, x, f, c in zip(pkt, ts, d, flags, carry):
             t, fin, hard = _run(t, f, c, cfg)
-            out.append(_pack(cuts.run_table(p, t, x, fin, hard, cfg.active_us, int(c[4]))))
+            out.append(_pack(cuts.run_table(p, t, x, fin, hard, cfg.active_us, int(c[4]), int(c[5]))))
         return pd.Series(out)
 
     return F.pandas_udf(reduce_blocks, _STEPS)
@@ -306,17 +312,6 @@ def _late_in_block(cfg: FlowConfig):
     return F.pandas_udf(late, "array<bigint>")
 
 
-def _chained(steps: pd.Series, max_before: pd.Series) -> pd.Series:
-    out = []
-    for group, most in zip(steps, max_before):
-        tables = [_unpack(s) for s in group]
-        joined = tables[0]
-        for t in tables[1:]:
-            joined = cuts.chain(joined, t, int(most))
-        out.append(_pack(joined))
-    return pd.Series(out)
-
-
 def _entered(steps: pd.Series, state: pd.Series) -> pd.Series:
     """Entry state of each run in turn, starting from the state before the first."""
     out = []
@@ -329,10 +324,22 @@ def _entered(steps: pd.Series, state: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def _grouped(tables: DataFrame, fan_in: int | None) -> DataFrame:
-    """Neighbouring runs of a connection in order, `fan_in` to a row (all, at the top)."""
-    by = KEY if fan_in is None else [*KEY, F.expr(f"blk div {fan_in}").alias("span")]
-    return tables.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("blk", "max_before", "steps"))).alias("runs"))
+def _entry(runs: DataFrame, cfg: FlowConfig) -> DataFrame:
+    """State before each block: by one row of each connection with few steps, by rows of steps for the others."""
+    steps = sum(F.size(F.col("steps")[6 * seen]) for seen in (0, 1)) + 3
+    sizes = runs.groupBy(*KEY).agg(F.sum(steps).alias("n"))
+    many = materialize(sizes.where(F.col("n") > cfg.table_steps).select(*KEY), "many_steps")
+    some = not many.isEmpty()
+    few = runs.join(many, KEY, "left_anti") if some else runs
+    in_order = few.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("blk", "steps"))).alias("runs"))
+    unopened = F.array(*[F.lit(v).cast("bigint") for v in _UNOPENED])
+    states = F.pandas_udf(_entered, _STEPS)(F.col("runs.steps"), unopened)
+    entry = in_order.select(*KEY, F.inline(F.arrays_zip(F.col("runs.blk").alias("blk"), states.alias("state"))))
+    if not some:
+        return entry
+    rows = materialize(flow_steps.rows_of(runs.join(many, KEY, "left_semi"), KEY), "step_rows")
+    rest = flow_steps.entry_states(rows, KEY, _UNOPENED, cfg.fan_in)
+    return entry.unionByName(rest.select(*_BLOCK, F.array(*flow_steps.STATE).alias("state")))
 
 
 def _oversized(keyed: DataFrame, cfg: FlowConfig) -> DataFrame:
@@ -342,25 +349,9 @@ def _oversized(keyed: DataFrame, cfg: FlowConfig) -> DataFrame:
     carry = materialize(_block_carry(blocks.drop("rows")), "carry")
     known = blocks.select(*_BLOCK, "rows").join(carry, _BLOCK).withColumn("carry", _carry_array(cfg))
     r = [F.col(f"rows.{c}") for c in ("pkt_no", "ts_us", "dir", "flags")]
-    levels = [materialize(known.select(
-        *_BLOCK, F.col("carry")[4].alias("max_before"), _tables(cfg)(*r, F.col("carry")).alias("steps")), "runs")]
-    runs = (carry.agg(F.max("blk")).first()[0] or 0) + 1
-    chained, entered = F.pandas_udf(_chained, _STEPS), F.pandas_udf(_entered, _STEPS)
-    while runs > cfg.fan_in:
-        up = _grouped(levels[-1], cfg.fan_in)
-        most = F.col("runs.max_before")[0]
-        levels.append(materialize(up.select(
-            *KEY, F.col("span").alias("blk"), most.alias("max_before"), chained(F.col("runs.steps"), most).alias("steps")), "chained"))
-        runs = -(-runs // cfg.fan_in)
-    unopened = F.array(*[F.lit(v).cast("bigint") for v in _UNOPENED])
-    below = _grouped(levels[-1], None).withColumn("state", unopened)
-    for level in range(len(levels) - 1, -1, -1):
-        states = F.arrays_zip(F.col("runs.blk").alias("blk"), entered(F.col("runs.steps"), F.col("state")).alias("state"))
-        entry = below.select(*KEY, F.inline(states))
-        if level:
-            lower = _grouped(levels[level - 1], cfg.fan_in)
-            below = lower.join(entry.withColumnRenamed("blk", "span"), [*KEY, "span"])
-    entry = materialize(entry, "entry")
+    runs = materialize(known.select(
+        *_BLOCK, F.col("carry")[4].alias("max_before"), _tables(cfg)(*r, F.col("carry")).alias("steps")), "runs")
+    entry = materialize(_entry(runs, cfg), "entry")
     found = _late_in_block(cfg)(r[0], r[1], r[3], F.col("carry"), F.col("state"))
     late = materialize(known.join(entry, _BLOCK).select(
         *_BLOCK, F.explode(found).alias("pkt_no"), F.lit(1).alias("is_cut")), "late")

@@ -81,3 +81,45 @@ def test_header_lengths(spark):
         "ip_version int, ihl int, protocol int, data_offset int, frame_len int, ip_len int")
     assert [r.payload_len for r in fl.header_lengths(df).collect()] == [60, 40, 8, 0]
     assert [r.payload_len for r in fl.header_lengths(df, "ip").collect()] == [46, 26, 0, 0]
+
+
+@pytest.mark.parametrize("fan_in", [2, 3])
+@pytest.mark.parametrize("seed", [5, 6])
+def test_steps_as_rows_match_packet_by_packet(spark, seed, fan_in):
+    """Step functions composed as rows, where nearly every packet is a step of its own."""
+    packets = random_packets(seed, 600, 5, 0.6)
+    packets = [p[:10] + (16 if p[10] & 5 and i % 3 else p[10], p[11]) for i, p in enumerate(packets)]  # few FINs and RSTs: long stretches
+    cfg = fl.FlowConfig(idle_us=None, udp_us=90, active_us=400, heavy_packets=60, block_packets=50, fan_in=fan_in, table_steps=0)
+    df = spark.createDataFrame(packets, PACKET_DDL)
+    got = {(r.capture_id, r.pkt_no): (r.flow_seq, r.flow_start, r.is_fwd) for r in fl.assign_flows(df, cfg).collect()}
+    assert got == fold(packets, None, 90, 400)
+
+
+def one_connection(spark, n, step_us):
+    return spark.range(n).select(
+        F.lit("c").alias("capture_id"), F.col("id").alias("pkt_no"), (F.col("id") * step_us).alias("ts_us"), F.lit("10.0.0.1").alias("src_ip"),
+        F.lit("10.0.0.2").alias("dst_ip"), F.lit(1000).alias("src_port"), F.lit(80).alias("dst_port"), F.lit(6).alias("protocol"),
+        F.lit(10).alias("payload_len"), F.lit(20).alias("header_len"), F.lit(16).alias("flags"), F.lit(1).alias("win"))
+
+
+@pytest.mark.parametrize(("n", "step_us", "steps"), [(5_000_000, 300, 0), (300_000, 30_000, None)])
+def test_connection_of_millions_of_packets_has_no_large_row(spark, monkeypatch, n, step_us, steps):
+    """5 M packets within one active timeout and without FIN; and one of several timeouts, each with 60 000 packets."""
+    written = {}
+    keep = fl.materialize
+
+    def watched(df, name):
+        out = keep(df, name)
+        written[name] = out
+        return out
+
+    monkeypatch.setattr(fl, "materialize", watched)
+    cfg = fl.FlowConfig(table_steps=2000, heavy_packets=100_000)
+    got = fl.assign_flows(one_connection(spark, n, step_us), cfg)
+    per = cfg.active_us // step_us + 1
+    want = -(-n // per)
+    r = got.agg(F.count("*").alias("n"), F.max("flow_seq").alias("last"), F.sum((F.col("flow_start") != F.floor(F.col("pkt_no") / per) * per).cast("int")).alias("wrong")).first()
+    assert (r.n, r.last, r.wrong) == (n, want - 1, 0)
+    runs = written["runs"].selectExpr("max(aggregate(steps, 0, (n, a) -> n + size(a))) as longs", "sum(size(steps[0]) + size(steps[6])) as steps").first()
+    assert runs.longs * 8 < 1 << 20 and written["blocks"].selectExpr("max(size(rows)) as n").first().n * 32 < 1 << 20
+    assert runs.steps == 0 if steps == 0 else runs.steps > 2000
