@@ -147,3 +147,103 @@ def test_many_files_are_many_tasks(spark, tmp_path):
     packets = captures.decode_captures(spark, str(tmp_path), split_packets=2)
     tasks = packets.select(F.spark_partition_id().alias("p")).distinct().count()
     assert packets.count() == 40 * len(WANT) and tasks > 10
+
+
+def stretches(data, size):
+    """Offsets of all records, from stretches of `size` bytes that are verified one after the other; and the repairs."""
+    import io
+
+    f, rows, repairs, end = io.BytesIO(data), [], 0, 0
+    for low in range(0, len(data), size):
+        high = min(len(data), low + size)
+        row = captures.index_stretch(f, len(data), low, high, None, 1, 1 << 20)
+        want = -1 if end >= high else end
+        if low and row["begin"] != want:
+            repairs += 1
+            row = captures.index_stretch(f, len(data), low, high, end, 1, 1 << 20)
+        assert low == 0 or row["begin"] == want
+        end = row["end"] if row["begin"] >= 0 else end
+        rows.append(row)
+    return [m["offset"] for r in rows for m in r["marks"]], repairs
+
+
+@pytest.mark.parametrize("made", [pcap, pcapng])
+def test_stretches_cut_at_every_offset_hold_the_same_records(made):
+    data = made()
+    whole = stretches(data, len(data))[0]
+    assert len(whole) == len(FRAMES)
+    for size in range(1, len(data)):
+        assert stretches(data, size)[0] == whole
+
+
+def test_guessed_records_are_mostly_right():
+    import random
+
+    rng = random.Random(5)
+    data = struct.pack("<IHHIIII", 0xA1B2C3D4, 2, 4, 0, 0, 65535, 1)
+    for i in range(3000):
+        n = rng.randrange(60, 1500)
+        data += struct.pack("<IIII", 1_500_000_000 + i, rng.randrange(10**6), n, n) + rng.randbytes(n)
+    offsets, repairs = stretches(data, 7001)
+    assert len(offsets) == 3000 and repairs <= 3
+
+
+@pytest.mark.parametrize("size", [40, 64, 101])
+def test_one_file_is_indexed_by_many_tasks(spark, folder, size, monkeypatch):
+    seen = []
+    keep = captures.materialize
+
+    def watched(df, name):
+        seen.append((name, keep(df, name)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(captures, "materialize", watched)
+    got = captures.read_captures(spark, folder, split_packets=2, index_bytes=size)
+    rows = got.packets.orderBy("capture_id", "pkt_no").collect()
+    for name in ("one.pcap", "Gmail.pcapng"):
+        mine = [r for r in rows if r.capture_id == name]
+        assert [(r.pkt_no, r.src_ip, r.src_port, r.dst_port, r.protocol, r.payload_len, r.header_len, r.flags, r.win) for r in mine] == WANT
+        assert [r.ts_us for r in mine] == [(100 + n) * 1_000_000 + 250_000 for n in (0, 2, 3, 4)]
+    assert got.bad.count() == 0
+    index = dict(seen)["index"]
+    assert index.groupBy("path").count().agg({"count": "min"}).first()[0] > 1
+
+
+def test_later_sections_and_interfaces_count_in_later_stretches(spark, tmp_path):
+    """A second section in the other byte order, with an interface of another clock, met many stretches before its packets."""
+    def big(kind, body):
+        body += b"\0" * (-len(body) % 4)
+        return struct.pack(">II", kind, len(body) + 12) + body + struct.pack(">I", len(body) + 12)
+
+    data = pcapng() + big(0x0A0D0D0A, struct.pack(">IHHq", 0x1A2B3C4D, 1, 0, -1))
+    data += big(1, struct.pack(">HHI", 1, 0, 0) + struct.pack(">HHB3x", 9, 1, 3) + struct.pack(">HH", 0, 0))
+    for i in range(20):
+        data += big(6, struct.pack(">IIIII", 0, 0, 5000 + i, len(FRAMES[0]), len(FRAMES[0])) + FRAMES[0])
+    data += big(6, struct.pack(">IIIII", 7, 0, 1, len(FRAMES[0]), len(FRAMES[0])) + FRAMES[0])  # an interface nobody described
+    (tmp_path / "two.pcapng").write_bytes(data)
+    got = captures.read_captures(spark, str(tmp_path), split_packets=3, index_bytes=90)
+    rows = got.packets.orderBy("pkt_no").collect()
+    assert [r.pkt_no for r in rows] == [0, 2, 3, 4, *range(5, 25)]
+    assert [r.ts_us for r in rows[4:]] == [(5000 + i) * 1000 for i in range(20)]
+
+
+def test_bad_captures_are_set_aside(spark, folder, tmp_path):
+    import shutil
+
+    root = tmp_path / "mixed"
+    shutil.copytree(folder, root)
+    whole = pcap()
+    (root / "Benign" / "empty.pcap").write_bytes(b"")
+    (root / "Benign" / "foreign.pcap").write_bytes(b"PK\x03\x04" + b"x" * 500)
+    (root / "Benign" / "short.pcap").write_bytes(whole[:10])
+    (root / "Benign" / "cut.pcap").write_bytes(whole[:-10])
+    (root / "Benign" / "header.pcap").write_bytes(whole[:24])
+    (root / "Benign" / "ng.pcapng").write_bytes(pcapng()[:-7])
+    for size in (captures.INDEX_BYTES, 60):
+        got = captures.read_captures(spark, str(root), index_bytes=size)
+        bad = {r.path.rsplit("/", 1)[-1]: (r.bad_at, r.reason) for r in got.bad.collect()}
+        assert {k: v[0] for k, v in bad.items()} == {
+            "empty.pcap": 0, "foreign.pcap": 0, "short.pcap": 0, "cut.pcap": len(whole) - 16 - len(FRAMES[4]),
+            "ng.pcapng": len(pcapng()) - len(block(6, b"\0" * 20 + FRAMES[4]))}
+        counts = {r.capture_id: r["count"] for r in got.packets.groupBy("capture_id").count().collect()}
+        assert counts == {"one.pcap": 4, "Gmail.pcapng": 4, "cut.pcap": 3, "ng.pcapng": 3}
