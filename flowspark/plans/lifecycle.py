@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,17 +71,92 @@ def load_doh(spark: SparkSession, path: str, cap: int | None = None, seed: int =
     return out.withColumnsRenamed(_LABEL_NAMES).withColumn("Dataset", F.lit(DOH))
 
 
-def load_capture_flows(spark: SparkSession, path: str, cfg: FlowConfig = FlowConfig(), done: DataFrame | None = None,
-                       exclude: list[str] = (), max_packets: int | None = None) -> DataFrame:
-    """Labeled flow features of all captures under a folder that are not done yet."""
-    found, packets = captures.load_captures(spark, path, done, exclude, max_packets)
+def _capture_flows(found: DataFrame, cfg: FlowConfig, max_packets: int | None, payload_basis: str) -> tuple[DataFrame, DataFrame]:
+    """Flow features by path of all found captures, and what of them cannot be read."""
+    read = captures.read_captures(found.sparkSession, found, max_packets, payload_basis)
     # Captures in different folders may share a file name, so flows are kept apart by path.
-    packets = materialize(packets.withColumn("capture_id", F.col("path")).drop("path"), "packets")
-    flows = features.flow_features(packets, cfg).withColumnRenamed("capture_id", "path")
+    packets = materialize(read.packets.withColumn("capture_id", F.col("path")).drop("path"), "packets")
+    return features.flow_features(packets, cfg).withColumnRenamed("capture_id", "path"), read.bad
+
+
+def _tagged(flows: DataFrame, found: DataFrame) -> DataFrame:
     tags = found.select("path", *[F.col(a).alias(b) for a, b in _LABEL_NAMES.items() if a in found.columns])
     return flows.join(tags, "path").drop("path").withColumn("Dataset", F.lit(USTC))
 
 
+def load_capture_flows(spark: SparkSession, path: str, cfg: FlowConfig = FlowConfig(), done: DataFrame | None = None,
+                       exclude: list[str] = (), max_packets: int | None = None, store: str | None = None,
+                       payload_basis: str = "frame") -> DataFrame:
+    """Labeled flow features of all captures under a folder that are not done yet.
+
+    With a store, captures it holds for just these parameters are read from it, others are extracted and added first, and
+    the flows of all of them come back.
+    """
+    found = captures.labeled_captures(spark, path, captures.config_key(cfg, max_packets, payload_basis), exclude)
+    if done is not None:
+        found = tables.new_captures(found, done, captures.LEDGER_KEY)
+    if store is None:
+        return _tagged(_capture_flows(found, cfg, max_packets, payload_basis)[0], found)
+    return _tagged(CaptureStore(spark, store).through(found, lambda new: _capture_flows(new, cfg, max_packets, payload_basis)), found)
+
+
+class CaptureStore:
+    """Flows by capture and parameters, in batches that count once their manifest is written.
+
+    A batch is flows/batch=<id> and, after them, one manifest file of the captures in it. Readers take batches the manifests
+    name, so a run that stops before its manifest has written nothing that counts; the next run finds the same captures
+    open, gets the same batch id from them, and writes the batch anew. Nothing is lost or there twice.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _exists(self, path: str) -> bool:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+
+    def manifest(self) -> DataFrame:
+        """(path, config, batch) of every capture that is done."""
+        path = f"{self.path}/manifest"
+        kind = "path string, config string, batch string"
+        return self.spark.read.schema(kind).parquet(path) if self._exists(path) else self.spark.createDataFrame([], kind)
+
+    def bad(self) -> DataFrame:
+        """(path, bad_at, reason, batch) of captures that could not be read, or not to their end."""
+        path = f"{self.path}/bad"
+        kind = "path string, bad_at bigint, reason string, batch string"
+        return self.spark.read.schema(kind).parquet(path) if self._exists(path) else self.spark.createDataFrame([], kind)
+
+    def flows(self, found: DataFrame) -> DataFrame:
+        """Flows of found captures (path, config) as far as they are done."""
+        have = materialize(self.manifest().join(found.select("path", "config").distinct(), captures.LEDGER_KEY), "have")
+        names = [r.batch for r in have.select("batch").distinct().collect()]  # one for each run that added captures
+        if not names:
+            return None
+        read = self.spark.read.option("basePath", f"{self.path}/flows").parquet(*[f"{self.path}/flows/batch={n}" for n in names])
+        return read.join(have.select("path", "batch"), ["path", "batch"]).drop("batch")
+
+    def through(self, found: DataFrame, extract) -> DataFrame:
+        """Flows of found captures, those not done yet extracted and kept. extract(captures) gives flows and bad captures."""
+        new = materialize(tables.new_captures(found, self.manifest(), captures.LEDGER_KEY), "new_captures")
+        if not new.isEmpty():
+            self.add(new, *extract(new))
+        flows = self.flows(found)
+        return flows if flows is not None else extract(found.limit(0))[0]
+
+    def add(self, new: DataFrame, flows: DataFrame, bad: DataFrame) -> None:
+        """Keep the flows of new captures: flows, then what is bad, then the manifest, one file that appears at once."""
+        what = new.agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "config").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("config", "path"))).first()
+        batch = hashlib.sha256(repr(tuple(map(str, what))).encode()).hexdigest()[:24]
+        flows.write.mode("overwrite").parquet(f"{self.path}/flows/batch={batch}")
+        bad = materialize(bad, "bad")
+        bad.write.mode("overwrite").parquet(f"{self.path}/bad/batch={batch}")
+        # What cannot be read at all is tried again next time.
+        unread = bad.where("bad_at = 0").select("path")
+        done = new.select("path", "config").distinct().join(unread, "path", "left_anti")
+        done.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/batch={batch}")
+
+
 def prepare(frames: list[DataFrame], path: str) -> DataFrame:
     """All datasets as one table, one folder per dataset."""
     tables.write_parquet(sampling.combine(frames), path, "Dataset")

@@ -55,3 +55,94 @@ def test_evaluate(spark):
     assert (got["d1"].precision, got["d1"].recall, got["d1"].fpr, got["d1"].roc_auc, got["d1"].average_precision) == (0.5, 1.0, 0.5, 1.0, 1.0)
     assert got["d2"].roc_auc is None and got["d2"].accuracy == 1.0
     assert lifecycle.evaluate(df).first().total == 4 and lifecycle.evaluate(df, ["Dataset"], {"Dataset": ["d2"]}).count() == 1
+
+
+def flow_rows(df):
+    return sorted((r.Capture_ID, r.Specific_Family, r["Flow Duration"], r["Total Fwd Packets"]) for r in df.collect())
+
+
+@pytest.fixture
+def extracted(monkeypatch):
+    """Names of the captures that are read, in calls."""
+    calls, keep = [], lifecycle.captures.read_captures
+
+    def watched(spark, found, *more):
+        calls.append(sorted(r.path.rsplit("/", 1)[-1] for r in found.select("path").collect()))
+        return keep(spark, found, *more)
+
+    monkeypatch.setattr(lifecycle.captures, "read_captures", watched)
+    return calls
+
+
+def test_store_reads_each_capture_once(spark, folder, tmp_path, extracted):  # noqa: F811
+    import shutil
+
+    root, store = str(tmp_path / "caps"), str(tmp_path / "store")
+    shutil.copytree(folder, root)
+    plain = flow_rows(lifecycle.load_capture_flows(spark, root))
+    extracted.clear()
+    assert flow_rows(lifecycle.load_capture_flows(spark, root, store=store)) == plain
+    assert flow_rows(lifecycle.load_capture_flows(spark, root, store=store)) == plain
+    assert extracted == [["Gmail.pcapng", "one.pcap"]]
+    shutil.copy(f"{root}/Malware/Zeus/one.pcap", f"{root}/Malware/Zeus/two.pcap")
+    assert len(flow_rows(lifecycle.load_capture_flows(spark, root, store=store))) == len(plain) + 3 - 3 + sum(r[0] == "one.pcap" for r in plain)
+    assert extracted[1:] == [["two.pcap"]]
+    assert flow_rows(lifecycle.load_capture_flows(spark, root, store=store, exclude=["Zeus"])) == [r for r in plain if r[0] == "Gmail.pcapng"]
+    assert len(extracted) == 2
+
+
+@pytest.mark.parametrize("rule", [dict(idle_us=5), dict(active_us=7), dict(udp_us=3), dict(use_rst=False), dict(use_fin=False), dict(burst_us=1)])
+def test_every_rule_is_part_of_the_ledger(spark, folder, rule):  # noqa: F811
+    from dataclasses import replace
+
+    cfg = lifecycle.FlowConfig()
+    keys = {lifecycle.captures.config_key(c) for c in (cfg, replace(cfg, **rule))} | {lifecycle.captures.config_key(cfg, 5), lifecycle.captures.config_key(cfg, None, "ip")}
+    assert len(keys) == 4
+    assert lifecycle.captures.config_key(replace(cfg, heavy_packets=3, fan_in=2)) == lifecycle.captures.config_key(cfg)
+
+
+def test_changed_timeouts_extract_again_through_the_loader(spark, folder, tmp_path, extracted):  # noqa: F811
+    store, cfg = str(tmp_path / "store"), lifecycle.FlowConfig()
+    short = lifecycle.FlowConfig(idle_us=500_000, udp_us=500_000)
+    first = flow_rows(lifecycle.load_capture_flows(spark, folder, cfg, store=store))
+    other = flow_rows(lifecycle.load_capture_flows(spark, folder, short, store=store))
+    assert len(other) > len(first) and len(extracted) == 2
+    assert flow_rows(lifecycle.load_capture_flows(spark, folder, cfg, store=store)) == first
+    assert flow_rows(lifecycle.load_capture_flows(spark, folder, short, store=store)) == other and len(extracted) == 2
+    done = lifecycle.CaptureStore(spark, store).manifest()
+    assert lifecycle.load_capture_flows(spark, folder, cfg, done=done).count() == 0
+    assert lifecycle.load_capture_flows(spark, folder, lifecycle.FlowConfig(active_us=1), done=done).count() > 0
+
+
+def test_a_run_that_stops_before_its_manifest_is_done_again(spark, folder, tmp_path, monkeypatch, extracted):  # noqa: F811
+    store = str(tmp_path / "store")
+    keep = lifecycle.materialize
+
+    def stops(df, name):
+        if name == "bad":
+            raise KeyboardInterrupt
+        return keep(df, name)
+
+    monkeypatch.setattr(lifecycle, "materialize", stops)
+    with pytest.raises(KeyboardInterrupt):
+        lifecycle.load_capture_flows(spark, folder, store=store)
+    monkeypatch.setattr(lifecycle, "materialize", keep)
+    assert (tmp_path / "store" / "flows").exists() and lifecycle.CaptureStore(spark, store).manifest().count() == 0
+    want = flow_rows(lifecycle.load_capture_flows(spark, folder))
+    assert flow_rows(lifecycle.load_capture_flows(spark, folder, store=store)) == want
+    assert flow_rows(lifecycle.load_capture_flows(spark, folder, store=store)) == want
+    assert len(extracted) == 3 and len(list((tmp_path / "store" / "flows").iterdir())) == 1
+
+
+def test_store_sets_bad_captures_aside_and_tries_them_again(spark, folder, tmp_path, extracted):  # noqa: F811
+    import shutil
+
+    root, store = tmp_path / "caps", str(tmp_path / "store")
+    shutil.copytree(folder, root)
+    (root / "Benign" / "late.pcap").write_bytes(b"")
+    want = flow_rows(lifecycle.load_capture_flows(spark, folder))
+    assert flow_rows(lifecycle.load_capture_flows(spark, str(root), store=store)) == want
+    assert [(r.path.rsplit("/", 1)[-1], r.bad_at) for r in lifecycle.CaptureStore(spark, store).bad().collect()] == [("late.pcap", 0)]
+    shutil.copy(root / "Malware" / "Zeus" / "one.pcap", root / "Benign" / "late.pcap")
+    assert len(flow_rows(lifecycle.load_capture_flows(spark, str(root), store=store))) > len(want)
+    assert extracted[-1] == ["late.pcap"]
