@@ -14,6 +14,7 @@ import pyarrow as pa
 SLICE = 1 << 18
 BASE = 0x9E3779B97F4A7C15
 ODD = np.uint64(0xD6E8FEB86659FD93)
+STEP = np.uint64(0xCA5A826395121157)
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -102,7 +103,7 @@ def span_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.nda
     return out
 
 
-def range_hashes(values: np.ndarray, first: np.ndarray, last: np.ndarray, levels: int = 7) -> np.ndarray:
+def range_hashes(values: np.ndarray, first: np.ndarray, last: np.ndarray, levels: int = 8) -> np.ndarray:
     """64-bit hash of values[first:last] for many ranges, which may overlap; depends on content only.
 
     A range is covered by two of the blocks of 2**k values that doubling gives, mixed without linear structure, so that
@@ -112,13 +113,13 @@ def range_hashes(values: np.ndarray, first: np.ndarray, last: np.ndarray, levels
     level = np.frexp(np.maximum(size, 1))[1] - 1
     out = np.zeros(len(first), np.uint64)
     h = mixed(values * np.uint64(BASE))
+    spare, other = np.empty_like(h), np.empty_like(h)
     for k in range(min(levels, int(level.max(initial=0))) + 1):
         if k:
-            step = 1 << (k - 1)
-            h = h[:-step] * ODD + h[step:] * np.uint64(0xCA5A826395121157)
-            h ^= h >> np.uint64(32)
+            h, spare = _joined(h, 1 << (k - 1), spare, other), h
         some = np.flatnonzero((level == k) & (size > 0))
-        out[some] = h[first[some]] * ODD + mixed(h[last[some] - (1 << k)] + size[some].astype(np.uint64) * np.uint64(BASE))
+        if len(some):
+            out[some] = h[first[some]] * ODD + mixed(h[last[some] - (1 << k)] + size[some].astype(np.uint64) * np.uint64(BASE))
     for i in np.flatnonzero(level > levels).tolist():
         digest = blake2b(values[first[i]:last[i]].tobytes(), digest_size=8).digest()
         out[i] = np.uint64(int.from_bytes(digest, "little"))
@@ -130,14 +131,25 @@ def gram_hashes(values: np.ndarray, size: int) -> np.ndarray:
     if len(values) < size:
         return np.empty(0, np.uint64)
     h, have = mixed(values * np.uint64(BASE)), 1
+    spare, other = np.empty_like(h), np.empty_like(h)
     while have < size:
         step = min(have, size - have)
-        h = h[:-step] * ODD + h[step:] * np.uint64(0xCA5A826395121157)
-        h ^= h >> np.uint64(32)
+        h, spare = _joined(h, step, spare, other), h
         have += step
     return h * np.uint64(BASE)
 
 
+def _joined(h: np.ndarray, step: int, into: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Hash of the block at each place and the one step after it, in memory that is there already."""
+    n = len(h) - step
+    np.multiply(h[:n], ODD, out=into[:n])
+    np.multiply(h[step:], STEP, out=other[:n])
+    into[:n] += other[:n]
+    np.right_shift(into[:n], np.uint64(32), out=other[:n])
+    into[:n] ^= other[:n]
+    return into[:n]
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every run of width values."""
     if len(values) < width:
