@@ -148,7 +148,7 @@ def _packet_stream(spark, sf):
  arg_max(ts_us, pkt_no) AS last_us, count(*) AS packets, cast(sum(payload_len) AS BIGINT) AS bytes
  FROM (SELECT p.*, f.flow_seq FROM p JOIN f USING (capture_id, pkt_no)) GROUP BY {_K}, flow_seq""")
 def stream_assign_flows(spark, sf):
-    flows = fs.run_available(fs.stream_flows(_packet_stream(spark, sf), CFG), "flows")
+    flows = fs.numbered(fs.run_available(fs.stream_flows(_packet_stream(spark, sf), CFG), "flows"))
     return flows.where("capture_id <> 'end'").select(
         *fl.KEY, "flow_seq", "flow_start", "first_us", "last_us", (F.col("fwd_pkts") + F.col("bwd_pkts")).alias("packets"),
         (F.col("fwd_bytes") + F.col("bwd_bytes")).alias("bytes"))
@@ -158,6 +158,7 @@ def stream_assign_flows(spark, sf):
 def stream_flow_features_65(spark, sf):
     """The features of flows as they end, from running state alone."""
     flows = fs.run_available(fs.stream_features(_packet_stream(spark, sf), CFG), "flows").where("capture_id <> 'end'")
+    flows = fs.numbered(flows)
     return rounded_features(flows)
 
 

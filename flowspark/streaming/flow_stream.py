@@ -3,9 +3,14 @@
 Per connection the state is the open flow's running totals, never its packets: counts, sums, exact
 sums of squares, extremes, last times and the open burst, from which all 65 features follow. A flow
 is emitted when a packet ends it (RST, second FIN), when a later packet falls beyond a timeout, or
-when the watermark passes the timeout. Packets behind the watermark are dropped by the engine;
-packets of one micro-batch are taken in order of their number, so they meet in one task: bound a
-batch by `max_files` (or the source's own rate limit). Bursts follow the order of packets.
+when the watermark passes the timeout; with its flow a connection's state ends, so what is kept is
+bounded by the connections open at a time. Flows are therefore not numbered here: `numbered` does so
+at rest. Packets behind the watermark are dropped by the engine; packets of one micro-batch are taken
+in order of their number, so they meet in one task: bound a batch by `max_files` (or the source's own
+rate limit).
+
+Bursts go by time, whatever the order in which packets come: a flow keeps its bursts as intervals,
+which a late packet may extend or join, and folds those that the watermark has passed.
 """
 
 from __future__ import annotations
@@ -14,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -31,17 +36,30 @@ _COUNTS = ["fwd_psh", "fin_cnt", "syn_cnt", "psh_cnt", "ack_cnt", "urg_cnt", "fw
 _FIRSTS = ["init_win_fwd", "init_win_bwd", "min_seg_fwd", "last_fwd", "last_bwd"]
 _SQUARES = [f"{x}_sq" for x in _SERIES]
 _MOMENTS = [f"{x}_{m}" for x in _SERIES for m in ("n", "sum", "lo", "hi")]
-_OPEN = ["flow_start", "start_dir", "first_us", "last_us", "fins", "burst_us", *_TOTALS, *_COUNTS, *_FIRSTS, *_MOMENTS]
-_STATE = ["seq", "prev_ts", "prev_flags", "is_open", "timer", *_OPEN, *_SQUARES]
-_STATE_DDL = ", ".join(f"{c} {'string' if c in _SQUARES else 'bigint'}" for c in _STATE)
-_FRESH = dict.fromkeys([*_TOTALS, *_COUNTS, *_MOMENTS], 0) | dict.fromkeys(_FIRSTS, -1) | dict.fromkeys(_SQUARES, "0")
+_OPEN = ["flow_start", "start_dir", "first_us", "last_us", "fins", *_TOTALS, *_COUNTS, *_FIRSTS, *_MOMENTS]
+#: Sums of squares are whole numbers of any size, as text; so are the bursts not yet folded, as `from to from to ...`.
+_TEXTS = [*_SQUARES, "bursts"]
+_STATE = ["prev_ts", "prev_flags", "is_open", "timer", *_OPEN, *_TEXTS]
+_STATE_DDL = ", ".join(f"{c} {'string' if c in _TEXTS else 'bigint'}" for c in _STATE)
+_FRESH = dict.fromkeys([*_TOTALS, *_COUNTS, *_MOMENTS], 0) | dict.fromkeys(_FIRSTS, -1) | dict.fromkeys(_SQUARES, "0") | {"bursts": ""}
 _STATS = [f"{x}_{m}" for x in _SERIES[:6] for m in ("max", "min", "mean", "std")] + [
     "len_var", "fwd_iat_total", "bwd_iat_total", *[f"{x}_{m}" for x in ("active", "idle") for m in ("mean", "std", "max", "min")],
     *_COUNTS, "init_win_fwd", "init_win_bwd", "min_seg_fwd"]
-FLOW_DDL = (f"{KEY_DDL}, flow_seq bigint, flow_start bigint, first_us bigint, last_us bigint, "
-            "fwd_pkts bigint, bwd_pkts bigint, fwd_bytes bigint, bwd_bytes bigint, end_reason string, start_dir bigint, "
-            + ", ".join(f"{c} double" for c in _STATS))
-_COLUMNS = [*KEY, "flow_seq", "flow_start", "first_us", "last_us", *_TOTALS, "end_reason", "start_dir", *_STATS]
+FLOW_DDL = (f"{KEY_DDL}, flow_start bigint, first_us bigint, last_us bigint, "
+            "fwd_pkts bigint, bwd_pkts bigint, fwd_bytes bigint, bwd_bytes bigint, end_reason string, start_dir bigint")
+_STATS_DDL = ", ".join(f"{c} double" for c in _STATS)
+_COLUMNS = [*KEY, "flow_start", "first_us", "last_us", *_TOTALS, "end_reason", "start_dir"]
+
+
+def _squares(values: np.ndarray) -> int:
+    """Sum of squares as a whole number of any size."""
+    most = max(abs(int(values.max())), abs(int(values.min())))
+    if most * most * len(values) < 1 << 63:
+        return int(np.dot(values, values))
+    if most < 1 << 40 and len(values) < 1 << 20:
+        high, low = values >> 20, values & 0xFFFFF
+        return (int(np.dot(high, high)) << 40) + (int(np.dot(high, low)) << 21) + int(np.dot(low, low))
+    return sum(v * v for v in values.tolist())
 
 
 def _add(s: dict, series: str, values: np.ndarray) -> None:
@@ -53,7 +71,7 @@ def _add(s: dict, series: str, values: np.ndarray) -> None:
         low, high = min(low, s[f"{series}_lo"]), max(high, s[f"{series}_hi"])
     s.update({
         f"{series}_n": s[f"{series}_n"] + len(values), f"{series}_sum": s[f"{series}_sum"] + int(values.sum()), f"{series}_lo": low,
-        f"{series}_hi": high, f"{series}_sq": str(int(s[f"{series}_sq"]) + sum(v * v for v in values.tolist())),
+        f"{series}_hi": high, f"{series}_sq": str(int(s[f"{series}_sq"]) + _squares(values)),
     })
 
 
@@ -68,9 +86,7 @@ def _moments(s: dict, series: str, none: float | None) -> dict[str, float | None
 
 def _take(s: dict, known: bool, ts, forward, size, header, flags, win, burst_us: int) -> None:
     """Take a run of packets of one flow into its state; known: the flow has packets before them."""
-    gaps = np.diff(ts, prepend=s["last_us"]) if known else np.diff(ts)
-    later = ts if known else ts[1:]
-    _add(s, "iat", gaps)
+    _add(s, "iat", np.diff(ts, prepend=s["last_us"]) if known else np.diff(ts))
     _add(s, "len", size)
     for name, mine in (("fwd", forward), ("bwd", ~forward)):
         if not mine.any():
@@ -89,20 +105,45 @@ def _take(s: dict, known: bool, ts, forward, size, header, flags, win, burst_us:
         s["fwd_psh"] += int((flags[forward] & PSH > 0).sum())
     for name, bit in (("fin_cnt", FIN), ("syn_cnt", SYN), ("psh_cnt", PSH), ("ack_cnt", ACK), ("urg_cnt", URG)):
         s[name] += int((flags & bit > 0).sum())
-    pauses = np.flatnonzero(gaps > burst_us)
-    begins = np.append(s["burst_us"], later[pauses])
-    lengths = (later[pauses] - gaps[pauses]) - begins[:-1]
+    own = np.sort(ts)
+    pauses = np.flatnonzero(np.diff(own) > burst_us)
+    new = np.stack([own[np.append(0, pauses + 1)], own[np.append(pauses, len(own) - 1)]], 1)
+    s["bursts"] = _joined(np.concatenate([_bursts(s), new]), burst_us)
+
+
+def _bursts(s: dict) -> np.ndarray:
+    """Bursts not yet folded, rows (from, to) in order."""
+    return np.array(s["bursts"].split(), np.int64).reshape(-1, 2)
+
+
+def _joined(bursts: np.ndarray, burst_us: int) -> str:
+    """Bursts with those joined that no pause keeps apart. Times within a burst do not matter: its ends decide what joins it."""
+    bursts = bursts[np.argsort(bursts[:, 0], kind="stable")]
+    reach = np.maximum.accumulate(bursts[:, 1])
+    head = np.append(True, bursts[1:, 0] - reach[:-1] > burst_us)
+    tail = np.append(head[1:], True)
+    return " ".join(map(str, np.stack([bursts[head, 0], reach[tail]], 1).ravel().tolist()))
+
+
+def _fold_bursts(s: dict, until: int | None) -> None:
+    """Take bursts into the active and idle times whose next burst began before `until` (all if None): no packet can come between."""
+    bursts = _bursts(s)
+    n = len(bursts) if until is None else int(np.searchsorted(bursts[1:, 0], until, "left"))
+    if not n:
+        return
+    lengths = bursts[:n, 1] - bursts[:n, 0]
     _add(s, "active", lengths[lengths > 0])
-    _add(s, "idle", gaps[pauses])
-    s["burst_us"] = int(begins[-1])
+    _add(s, "idle", bursts[1:n + 1, 0] - bursts[:len(bursts[1:n + 1]), 1])
+    s["bursts"] = " ".join(map(str, bursts[n:].ravel().tolist()))
 
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class FlowProcessor(StatefulProcessor):
-    def __init__(self, cfg: FlowConfig):
-        self.cfg = cfg
+    def __init__(self, cfg: FlowConfig, stats: bool):
+        self.cfg, self.stats = cfg, stats
+        self.columns = [*_COLUMNS, *(_STATS if stats else [])]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -115,7 +156,7 @@ class FlowProcessor(StatefulProcessor):
     def _emit(self, key, flows: list[dict]) -> Iterator[pd.DataFrame]:
         if flows:
             rows = pd.DataFrame(flows).assign(**dict(zip(KEY, key)))
-            yield rows[_COLUMNS]
+            yield rows[self.columns]
 
     def _timer(self, key, s: dict) -> None:
         due = 0
@@ -133,8 +174,8 @@ class FlowProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows)).sort_values("pkt_no", ignore_index=True)
-        s = dict(zip(_STATE, self.state.get())) if self.state.exists() else dict.fromkeys(_STATE, 0) | _FRESH | {"seq": -1}
-        known = s["seq"] >= 0
+        s = dict(zip(_STATE, self.state.get())) if self.state.exists() else dict.fromkeys(_STATE, 0) | _FRESH
+        known = bool(s["is_open"])
         ts, flags, pkt, d = (pdf[c].to_numpy() for c in ("ts_us", "flags", "pkt_no", "dir"))
         gaps = np.diff(ts, prepend=s["prev_ts"] if known else ts[0])
         hard = gaps > self._idle(key)
@@ -157,10 +198,10 @@ class FlowProcessor(StatefulProcessor):
             if i > 0 or first == 0:
                 if s["is_open"]:
                     done.append(self._close(s, "timeout"))
-                s.update(seq=s["seq"] + 1, is_open=1, flow_start=int(pkt[low]), start_dir=int(d[low]),
-                         first_us=int(ts[low]), fins=0, burst_us=int(ts[low]), **_FRESH)
+                s.update(is_open=1, flow_start=int(pkt[low]), start_dir=int(d[low]), first_us=int(ts[low]), fins=0, **_FRESH)
             run = slice(low, high)
-            _take(s, i == 0 and first > 0, ts[run], forward[run], size[run], header[run], flags[run], win[run], self.cfg.burst_us)
+            if self.stats:
+                _take(s, i == 0 and first > 0, ts[run], forward[run], size[run], header[run], flags[run], win[run], self.cfg.burst_us)
             for name, total in zip([*_TOTALS, "fins"], sums):
                 s[name] += int(total[i])
             s["last_us"] = int(ts[high - 1])
@@ -170,18 +211,19 @@ class FlowProcessor(StatefulProcessor):
                 done.append(self._close(s, "fin"))
         s.update(prev_ts=int(ts[-1]), prev_flags=int(flags[-1]))
         self._timer(key, s)
-        self._keep(s)
+        if s["is_open"]:
+            _fold_bursts(s, timerValues.getCurrentWatermarkInMs() * 1000)
+            self.state.update(tuple(s[c] if c in _TEXTS else int(s[c]) for c in _STATE))
+        else:
+            self.state.clear()  # nothing of a flow that has ended bears on the next
         yield from self._emit(key, done)
 
-    def _keep(self, s: dict) -> None:
-        self.state.update(tuple(s[c] if c in _SQUARES else int(s[c]) for c in _STATE))
-
-    @staticmethod
-    def _close(s: dict, reason: str) -> dict:
+    def _close(self, s: dict, reason: str) -> dict:
         s["is_open"] = 0
-        if s["last_us"] > s["burst_us"]:
-            _add(s, "active", np.array([s["last_us"] - s["burst_us"]]))
-        out = {"flow_seq": s["seq"], "end_reason": reason, **{c: s[c] for c in ("flow_start", "first_us", "last_us", "start_dir", *_TOTALS)}}
+        out = {"end_reason": reason, **{c: s[c] for c in ("flow_start", "first_us", "last_us", "start_dir", *_TOTALS)}}
+        if not self.stats:
+            return out
+        _fold_bursts(s, None)
         for series in _SERIES:
             out |= _moments(s, series, None if series in ("active", "idle") else 0.0)
         out |= {c: float(s[c]) for c in (*_COUNTS, "init_win_fwd", "init_win_bwd")}
@@ -191,10 +233,8 @@ class FlowProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         s = dict(zip(_STATE, self.state.get()))
         if s["is_open"]:
-            flow = self._close(s, "timeout")
-            s["timer"] = 0
-            self._keep(s)
-            yield from self._emit(key, [flow])
+            self.state.clear()
+            yield from self._emit(key, [self._close(s, "timeout")])
 
     def close(self) -> None:
         pass
@@ -204,20 +244,31 @@ def event_time(packets: DataFrame, delay: str) -> DataFrame:
     return packets.withColumn("event_time", F.timestamp_micros("ts_us")).withWatermark("event_time", delay)
 
 
-def stream_flows(packets: DataFrame, cfg: FlowConfig = FlowConfig(), delay: str = "0 seconds") -> DataFrame:
-    """Flow rows from a streaming packet table; `delay` is how late a packet may be."""
+def stream_flows(packets: DataFrame, cfg: FlowConfig = FlowConfig(), delay: str = "0 seconds", stats: bool = False) -> DataFrame:
+    """Flow rows from a streaming packet table; `delay` is how late a packet may be; stats: with what the features need."""
     packets.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     # The key projection keeps event_time, on which the timers run.
     timed = event_time(packets, delay)
     keyed = with_key(timed, extra=["event_time"])
-    return keyed.groupBy(*KEY).transformWithStateInPandas(FlowProcessor(cfg), FLOW_DDL, "append", "EventTime")
+    return keyed.groupBy(*KEY).transformWithStateInPandas(
+        FlowProcessor(cfg, stats), f"{FLOW_DDL}, {_STATS_DDL}" if stats else FLOW_DDL, "append", "EventTime")
 
 
 def stream_features(packets: DataFrame, cfg: FlowConfig = FlowConfig(), delay: str = "0 seconds") -> DataFrame:
     """Metadata and the 65 features of each flow as it ends, as `features.flow_features` gives them at rest."""
-    flows = stream_flows(packets, cfg, delay)
+    flows = stream_flows(packets, cfg, delay, stats=True).withColumn("flow_seq", F.lit(None).cast("bigint"))
     flows = flows.withColumn("dur", F.greatest(F.lit(0), F.col("last_us") - F.col("first_us")).cast("double"))
-    return features.canonical(features.derive(flows))
+    return features.canonical(features.derive(flows)).drop("flow_seq")
+
+
+def numbered(flows: DataFrame) -> DataFrame:
+    """Flows at rest with flow_seq, their number within the connection: from stream_flows or stream_features."""
+    if set(KEY) <= set(flows.columns):
+        ends = [F.col(c) for c in KEY]
+    else:
+        a, b = (F.struct(F.col(f"{side}_IP").alias("ip"), F.col(f"{side}_Port").alias("port")) for side in ("Source", "Destination"))
+        ends = [F.col("capture_id"), F.least(a, b), F.greatest(a, b), F.col("Protocol")]
+    return flows.withColumn("flow_seq", F.row_number().over(Window.partitionBy(*ends).orderBy("flow_start")).cast("bigint") - 1)
 
 
 def stream_sessions(packets: DataFrame, cfg: FlowConfig = FlowConfig(), delay: str = "0 seconds") -> DataFrame:

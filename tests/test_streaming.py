@@ -33,7 +33,7 @@ def test_stream_over_several_batches_equals_batch(spark):
         stream = fs.stream_flows(fs.open_stream(spark, path, spark.createDataFrame([], PACKET_DDL).schema), CFG)
         stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", log).trigger(
             availableNow=True).start().awaitTermination()
-    rows = spark.read.parquet(out).where(F.col("capture_id") == "c").collect()
+    rows = fs.numbered(spark.read.parquet(out)).where(F.col("capture_id") == "c").collect()
     want = {}
     for (_, no), (seq, start, fwd) in fold(packets, CFG.idle_us, CFG.udp_us, CFG.active_us).items():
         p = packets[no]
@@ -59,10 +59,45 @@ def test_streamed_features_equal_the_batch_ones(spark):
         stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", log).trigger(
             availableNow=True).start().awaitTermination()
     key = ("Source_IP", "Destination_IP", "Source_Port", "Destination_Port", "flow_start")
-    got = {tuple(r[k] for k in key): r for r in spark.read.parquet(out).where("capture_id = 'c'").collect()}
+    got = {tuple(r[k] for k in key): r for r in fs.numbered(spark.read.parquet(out)).where("capture_id = 'c'").collect()}
     want = {tuple(r[k] for k in key): r for r in fx.flow_features(spark.createDataFrame(packets, PACKET_DDL), CFG).collect()}
     assert set(got) == set(want)
     for k, w in want.items():
         for name in w.asDict():
             a, b = got[k][name], w[name]
             assert a == b or abs(a - b) <= 1e-9 * max(1.0, abs(b)), (k, name, a, b)
+
+
+def test_state_ends_with_its_flows_and_bursts_go_by_time(spark):
+    """Packets up to three seconds out of order over several batches: features as at rest, and no state left at the end."""
+    from flowspark.operators import features as fx
+
+    rng = random.Random(12)
+    cfg = fl.FlowConfig(idle_us=120_000_000, udp_us=90_000_000, active_us=400_000_000, burst_us=2_000_000)
+    packets = [(*p[:2], p[2] + rng.choice([0, 0, 0, -3, 2]) * 1_000_000, *p[3:]) for p in ordered_packets(300)]
+    end = ("end", 0, packets[-1][2] + 10**12, "0", "0", 0, 0, 6, 0, 0, fl.RST, 0)  # its flow ends with it
+    path, out, log = (scratch_path(spark, n) for n in ("in", "out", "log"))
+    left = []
+    for part in (packets[:80], packets[80:81], packets[81:200], packets[200:], [end]):
+        spark.createDataFrame(part, PACKET_DDL).coalesce(1).write.mode("append").parquet(path)
+        stream = fs.stream_features(fs.open_stream(spark, path, spark.createDataFrame([], PACKET_DDL).schema), cfg, "10 seconds")
+        query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", log).trigger(availableNow=True).start()
+        query.awaitTermination()
+        left.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert left[0] > 0 and left[-1] == 0
+    key = ("Source_IP", "Destination_IP", "Source_Port", "Destination_Port", "flow_start")
+    got = {tuple(r[k] for k in key): r for r in fs.numbered(spark.read.parquet(out)).where("capture_id = 'c'").collect()}
+    want = {tuple(r[k] for k in key): r for r in fx.flow_features(spark.createDataFrame(packets, PACKET_DDL), cfg).collect()}
+    assert set(got) == set(want)
+    for k, w in want.items():
+        for name in w.asDict():
+            a, b = got[k][name], w[name]
+            assert a == b or abs(a - b) <= 1e-9 * max(1.0, abs(b)), (k, name, a, b)
+    assert sum(w["Idle Mean"] is not None and w["Idle Mean"] > 0 for w in want.values()) > 5
+
+
+def test_squares_are_exact():
+    import numpy as np
+
+    for values in ([3, 4], [1_200_000_000] * 5000, [(1 << 40) - 1] * 9, [1 << 50, 7], [-5, -(1 << 33)]):
+        assert fs._squares(np.array(values, np.int64)) == sum(v * v for v in values)
