@@ -1,6 +1,7 @@
 """Models and streams (inventory section G, H7, H10, D14, D15).
 
-What a model predicts has no SQL twin; its queries return, for every row, the facts that hold whatever was learned.
+What a model predicts has no SQL twin; its queries return, for every row, the facts that hold whatever was learned. Scores
+of ensembles that SQL can build as well are in forest_queries.
 """
 
 from __future__ import annotations
@@ -177,4 +178,5 @@ def stream_scores(spark, sf):
     rows = rest.select(F.col("target").cast("double").alias("target"), models.scaled_vector(scaler).alias("features"))
     detector = models.Detector(scaler, models.fit_forest(rows, "target", "features", TRAIN), "RF", 0.5)
     stream = fs.stream_features(_packet_stream(spark, sf), CFG).where("capture_id <> 'end'")
-    return _facts(fs.run_available(detector.transform(stream), "scores"), "capture_id", "flow_seq", "flow_start", consistent=_consistent(stream, 0.5))
+    scored = fs.numbered(fs.run_available(detector.transform(stream), "scores"))
+    return _facts(scored, "capture_id", "flow_seq", "flow_start", consistent=_consistent(stream, 0.5))
