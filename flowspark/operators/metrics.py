@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from flowspark.session import materialize
 
-#: Ranges of distinct scores that running counts are taken in.
-_BUCKETS = 64
+#: Distinct scores of a range that running counts are taken in.
+RANGE = 200_000
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -47,20 +47,23 @@ def score_counts(df: DataFrame, y: str, prob: str, by: list[str] = ()) -> DataFr
     """Per score the positives and negatives at it and at or above it. Rows without a score do not count; null is a group
     like any other.
 
-    Distinct scores are dealt by ranges of equal numbers of scores, however close they lie together, and each range's
-    running counts are moved on by the totals of the ranges above.
+    Distinct scores are written first. Where there are many, they are dealt into ranges whose number follows theirs, and each
+    range's running counts are moved on by the totals of the ranges above.
     """
     by = list(by)
     at = materialize(df.where(F.col(prob).isNotNull() & ~F.isnan(prob)).groupBy(*by, F.col(prob).alias("threshold")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")), "scores")
-    # Ends of the ranges: at most _BUCKETS numbers from a bounded quantile sketch. They steer the work, not the result.
-    ends = at.agg(F.percentile_approx("threshold", [i / _BUCKETS for i in range(1, _BUCKETS)], 10 * _BUCKETS)).first()[0] or []
-    at = at.withColumn("_bucket", F.size(F.filter(F.array(*[F.lit(e) for e in sorted(set(ends))]).cast("array<double>"),
-                                                  lambda e: e <= F.col("threshold"))))
+    ranges = -(-at.count() // RANGE)
     keys = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_k{i}") for i, c in enumerate(by)] \
         + [F.col(c).isNull().alias(f"_n{i}") for i, c in enumerate(by)]
     names = [f"_k{i}" for i in range(len(by))] + [f"_n{i}" for i in range(len(by))]
     at = at.select("*", *keys)
+    if ranges <= 1:
+        whole = Window.partitionBy(*names or [F.lit(0)])
+        w = whole.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+        return at.select(*by, "threshold", "pos", "neg", F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp"),
+                         F.sum("pos").over(whole).alias("n_pos"), F.sum("neg").over(whole).alias("n_neg"))
+    at = materialize(at.repartitionByRange(ranges, "threshold").withColumn("_bucket", F.spark_partition_id()), "ranges")
     totals = at.groupBy(*names, "_bucket").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
     above = Window.partitionBy(*names or [F.lit(0)]).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*names or [F.lit(0)])

@@ -57,13 +57,21 @@ def _with_cuts(rows: DataFrame, cuts: DataFrame, by: list[str]) -> DataFrame:
 
 
 def _keep_first(rows: DataFrame, by: list[str], limit: Column, order: list[str]) -> DataFrame:
-    """The first `limit` rows of each class by bucket `_b`, then `order`; only the bucket the cut falls in is ranked."""
+    """The first `limit` rows of each class by bucket `_b`, then `order`; only the bucket the cut falls in is ranked.
+
+    Equal rows are counted before they are ranked, however many there are: they are one row with a number, of which the
+    cut takes as many as still fit.
+    """
     cut = _cuts(_histogram(rows, by), by, {"_cut": limit})
     near = _with_cuts(rows, cut, by).where(limit > 0)
     clear = near.where(F.col("_cut").isNull() | (F.col("_b") < F.col("_cut")))  # no cut: the class is small
-    w = Window.partitionBy(*by, "_b").orderBy(*order)
-    edge = near.where(F.col("_b") == F.col("_cut")).withColumn("_rn", F.row_number().over(w)) \
-        .where(F.col("_rn") <= F.col("_cut_left")).drop("_rn")
+    names = near.columns
+    row = F.struct(*[F.col(f"`{c}`") for c in names])
+    edge = near.where(F.col("_b") == F.col("_cut")).groupBy(F.xxhash64(*[F.col(f"`{c}`") for c in names]).alias("_same"), row.alias("_key")).agg(
+        F.first(row).alias("_row"), F.count(F.lit(1)).alias("_times")).select("_row.*", "_same", "_times")
+    before = Window.partitionBy(*by, "_b").orderBy(*order, "_same").rowsBetween(Window.unboundedPreceding, -1)
+    edge = edge.withColumn("_take", F.least(F.col("_times"), F.col("_cut_left") - F.coalesce(F.sum("_times").over(before), F.lit(0)))) \
+        .where("_take > 0").withColumn("_one", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_take").cast("bigint")))).select(*names)
     return clear.unionByName(edge).drop("_h", "_b", "_cut", "_cut_left")
 
 

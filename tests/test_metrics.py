@@ -65,3 +65,26 @@ def test_null_groups_and_scores(spark):
     rows = spark.createDataFrame([(None, 1, 0.9), (None, 0, 0.1), ("a", 1, 0.2), ("a", 0, 0.3), ("a", 1, None)], "g string, y int, p double")
     got = {r.g: (r.roc_auc, r.average_precision) for r in mx.areas(rows, "y", "p", ["g"]).collect()}
     assert got == {None: (1.0, 1.0), "a": (0.0, 0.5)}
+
+
+def test_ranges_follow_the_scores(spark, monkeypatch):
+    n = 6000
+    rows = spark.range(n).select((F.col("id") % 3 % 2).alias("y"), F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.lit("g")).alias("g"),
+                                 F.round(F.pmod(F.xxhash64("id"), F.lit(100_000)) / 100_000, 5).alias("p"))
+    whole = sorted(map(tuple, mx.score_counts(rows, "y", "p", ["g"]).collect()), key=str)
+    areas = mx.areas(rows, "y", "p").first()
+    dealt = {}
+    keep = mx.materialize
+
+    def watched(df, name):
+        dealt[name] = keep(df, name)
+        return dealt[name]
+
+    monkeypatch.setattr(mx, "materialize", watched)
+    for size in (1000, 400):
+        monkeypatch.setattr(mx, "RANGE", size)
+        assert sorted(map(tuple, mx.score_counts(rows, "y", "p", ["g"]).collect()), key=str) == whole
+        sizes = [r["count"] for r in dealt["ranges"].groupBy("_bucket").count().collect()]
+        assert len(sizes) >= len(whole) // size and max(sizes) < 2 * size
+    again = mx.areas(rows, "y", "p").first()
+    assert again.roc_auc == pytest.approx(areas.roc_auc) and again.average_precision == pytest.approx(areas.average_precision)
