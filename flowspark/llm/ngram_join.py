@@ -445,6 +445,25 @@ def _with_sets(source: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return found.mapInArrow(run, "pivot long, a int, b int, block int, sid long, weight long, pivots array<long>, grams binary")
 
 
+ORACLE = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM t WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS gram FROM p),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b USING (gram) WHERE a.doc_id < b.doc_id GROUP BY x, y),
+l AS (
+  SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * shared >= 80 * (a.n + b.n - shared)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS root FROM n UNION SELECT e.y, r.root FROM r JOIN e ON e.x = r.doc_id),
+g AS (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id),
+k AS (SELECT x AS doc_id, count(*) AS n_links FROM e GROUP BY x)
+SELECT t.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(g.root, t.doc_id) AS component_id, coalesce(k.n_links, 0)::BIGINT AS n_links
+FROM t LEFT JOIN n USING (doc_id) LEFT JOIN g USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
 def op7_ngram_join(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "n_links")

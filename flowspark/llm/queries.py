@@ -35,6 +35,7 @@ QUERIES = {
 }
 ORACLES = {
     "op1_substring_dedup": substring_dedup.ORACLE,
+    "op7_ngram_join": ngram_join.ORACLE,
     "op8_chat_format": chat_format.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
     "op12_hard_negatives": hard_negatives.ORACLE,
