@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowspark.functions.schema import FEATURES
 
@@ -146,7 +147,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Views of many rows for each row of their table: how many. A small file of such a table is one task's input.
+_ROWS_OF_ONE = {"headers": "p_size * 2"}
+TASK_ROWS = 1 << 18
+
+
+def _spread(rows: DataFrame, each: str, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Rows dealt over as many tasks as what they become needs, about `task_rows` a task."""
+    total = rows.agg(F.sum(F.expr(each).cast("bigint"))).first()[0] or 0
+    return rows.repartition(max(total, 0) // task_rows + 1)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = _fill(VIEWS[name], spark=True)
     source = next(t for t in TABLES if f"FROM {t}" in text)
-    return spark.sql(text.replace(f"FROM {source}", "FROM {src}"), src=table(spark, sf_dir, source))
+    rows = table(spark, sf_dir, source)
+    if name in _ROWS_OF_ONE:
+        rows = _spread(rows, _ROWS_OF_ONE[name])
+    return spark.sql(text.replace(f"FROM {source}", "FROM {src}"), src=rows)

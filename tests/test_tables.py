@@ -141,3 +141,16 @@ def test_scratch_needs_a_shared_folder_off_local_masters(spark, monkeypatch):
     assert session.shared_dir(far) == "hdfs://x/y"
     far.conf.get, context.getCheckpointDir = (lambda *a: None), (lambda: "hdfs://z")
     assert session.shared_dir(far) == "hdfs://z"
+
+
+def test_headers_of_a_small_table_are_dealt_over_tasks(spark):
+    """4 million headers come from 40 000 rows in one file; no task holds more than a bounded part of them."""
+    from flowspark.plans import views
+    from flowspark.session import scratch_path
+
+    sf = scratch_path(spark, "sf")
+    spark.range(40_000).select(F.col("id").alias("p_partkey"), F.when(F.col("id") % 9 > 0, 50).alias("p_size")).coalesce(1).write.parquet(
+        f"{sf}/part.parquet")
+    headers = views.view(spark, sf, "headers")
+    sizes = [r["count"] for r in headers.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 100 * sum(i % 9 > 0 for i in range(40_000)) and max(sizes) < 2 * views.TASK_ROWS
