@@ -378,6 +378,8 @@ def mark_flows(packets: DataFrame, cfg: FlowConfig = FlowConfig()) -> MarkedPack
     )
     if heavy.isEmpty():
         return MarkedPackets(_ordinary(keyed, cfg), None)
+    # Read five times from here on: written, they are decoded and keyed once, and the joins compare columns, not what makes them.
+    keyed = materialize(keyed, "keyed")
     return MarkedPackets(
         _ordinary(keyed.join(heavy, KEY, "left_anti"), cfg), _oversized(keyed.join(heavy, KEY, "left_semi"), cfg)
     )

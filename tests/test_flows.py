@@ -123,3 +123,17 @@ def test_connection_of_millions_of_packets_has_no_large_row(spark, monkeypatch,
     runs = written["runs"].selectExpr("max(aggregate(steps, 0, (n, a) -> n + size(a))) as longs", "sum(size(steps[0]) + size(steps[6])) as steps").first()
     assert runs.longs * 8 < 1 << 20 and written["blocks"].selectExpr("max(size(rows)) as n").first().n * 32 < 1 << 20
     assert runs.steps == 0 if steps == 0 else runs.steps > 2000
+
+
+def test_packets_with_a_large_connection_are_decoded_and_keyed_once(spark, make_packets):
+    """One look to count, one to write: the blocks, marks and cuts read what was written."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(ip):
+        seen.add(1)
+        return ip
+
+    packets = make_packets(*[(i, i % 3 > 0, 16) for i in range(400)])
+    watched = packets.withColumn("src_ip", F.udf(look, "string")("src_ip"))
+    cfg = fl.FlowConfig(active_us=50_000_000, heavy_packets=100, block_packets=32)
+    assert fl.assign_flows(watched, cfg).count() == 400 and 0 < seen.value <= 800
