@@ -137,6 +137,66 @@ def _fold_bursts(s: dict, until: int | None) -> None:
     s["bursts"] = " ".join(map(str, bursts[n:].ravel().tolist()))
 
 
+def _run_squares(values: np.ndarray, starts: np.ndarray) -> list[int]:
+    """Sums of squares of consecutive runs as whole numbers of any size."""
+    most = max(abs(int(values.max())), abs(int(values.min())))
+    if most * most * len(values) < 1 << 63:
+        return np.add.reduceat(values * values, starts).tolist()
+    if most < 1 << 40 and len(values) < 1 << 20:
+        high, low = values >> 20, values & 0xFFFFF
+        parts = [np.add.reduceat(v, starts).tolist() for v in (high * high, high * low, low * low)]
+        return [(a << 40) + (b << 21) + c for a, b, c in zip(*parts)]
+    wide = values.astype(object)
+    return np.add.reduceat(wide * wide, starts).tolist()
+
+
+def _run_moments(series: str, values: np.ndarray, run: np.ndarray, runs: int, none: float) -> dict[str, np.ndarray]:
+    """As `_moments`, for `runs` runs at once; `run` is the number of each value's run, ascending."""
+    out = {m: np.full(runs, none) for m in ("max", "min", "mean", "std")}
+    if len(values):
+        count = np.bincount(run, minlength=runs)
+        have = np.flatnonzero(count)
+        starts = (np.cumsum(count) - count)[have]
+        n, total = count[have].tolist(), np.add.reduceat(values, starts).tolist()
+        out["max"][have], out["min"][have] = np.maximum.reduceat(values, starts), np.minimum.reduceat(values, starts)
+        out["mean"][have] = [t / k for t, k in zip(total, n)]
+        out["std"][have] = [((k * q - t * t) / (k * k)) ** 0.5 for k, q, t in zip(n, _run_squares(values, starts), total)]
+    return {f"{series}_{m}": v for m, v in out.items()}
+
+
+def _whole_flows(run, ts, forward, size, header, flags, win, burst_us: int) -> dict[str, np.ndarray]:
+    """What `_take` and `_close` give, for whole flows at once; `run` is the number of each packet's flow, ascending."""
+    runs = int(run[-1]) + 1
+    same = run[1:] == run[:-1]
+    own = np.lexsort((ts, run))
+    t, gap = ts[own], np.diff(ts[own])
+    pause = same & (gap > burst_us)
+    head = np.append(True, ~same | pause)
+    length = t[np.append(head[1:], True)] - t[head]
+    out = _run_moments("len", size, run, runs, 0.0) | _run_moments("iat", np.diff(ts)[same], run[1:][same], runs, 0.0)
+    out |= _run_moments("active", length[length > 0], run[head][length > 0], runs, np.nan)
+    out |= _run_moments("idle", gap[pause], run[1:][pause], runs, np.nan)
+    for name, mine in (("fwd", forward), ("bwd", ~forward)):
+        r = run[mine]
+        near = r[1:] == r[:-1]
+        gaps, at = np.diff(ts[mine])[near], r[1:][near]
+        out |= _run_moments(f"{name}_len", size[mine], r, runs, 0.0) | _run_moments(f"{name}_iat", gaps, at, runs, 0.0)
+        wins, headers, total = np.full(runs, -1.0), np.zeros(runs, np.int64), np.zeros(runs, np.int64)
+        if len(r):
+            opens = np.flatnonzero(np.append(True, ~near))
+            wins[r[opens]], headers[r[opens]] = win[mine][opens], np.add.reduceat(header[mine], opens)
+        if len(at):
+            edge = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+            total[at[edge]] = np.add.reduceat(gaps, edge)
+        out |= {f"init_win_{name}": wins, f"{name}_header": headers.astype(float), f"{name}_iat_total": total.astype(float)}
+    counts = [forward & (flags & PSH > 0), *[flags & bit > 0 for bit in (FIN, SYN, PSH, ACK, URG)], forward & (size > 0)]
+    names = ["fwd_psh", "fin_cnt", "syn_cnt", "psh_cnt", "ack_cnt", "urg_cnt", "act_data_fwd"]
+    out |= {name: np.bincount(run[c], minlength=runs).astype(float) for name, c in zip(names, counts)}
+    # A flow begins with a packet of its own direction, so each has a least header.
+    least = np.minimum.reduceat(np.where(forward, header, cuts.NEVER), np.flatnonzero(np.append(True, ~same)))
+    return out | {"len_var": np.array([v ** 2 for v in out["len_std"].tolist()]), "min_seg_fwd": np.where(least >= 0, least, 20).astype(float)}
+
+
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -173,10 +233,13 @@ class FlowProcessor(StatefulProcessor):
             s["timer"] = due
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values("pkt_no", ignore_index=True)
+        frames = list(rows)
+        cols = [np.concatenate([f[c].to_numpy() for f in frames])
+                for c in ("pkt_no", "ts_us", "flags", "dir", "payload_len", "header_len", "win")]
+        order = np.argsort(cols[0], kind="stable")
+        pkt, ts, flags, d, size, header, win = (c[order] for c in cols)
         s = dict(zip(_STATE, self.state.get())) if self.state.exists() else dict.fromkeys(_STATE, 0) | _FRESH
         known = bool(s["is_open"])
-        ts, flags, pkt, d = (pdf[c].to_numpy() for c in ("ts_us", "flags", "pkt_no", "dir"))
         gaps = np.diff(ts, prepend=s["prev_ts"] if known else ts[0])
         hard = gaps > self._idle(key)
         if self.cfg.use_rst:
@@ -186,18 +249,25 @@ class FlowProcessor(StatefulProcessor):
         starts = cuts.walk(cuts.next_starts(ts, fin, hard, self.cfg.active_us), first)
         # Runs of packets of one flow each; the first may continue the open flow.
         begins = starts if first == 0 else np.append(0, starts)
+        ends = np.append(begins[1:], len(ts))
         start_dir = d[begins].copy()
         if first > 0:
             start_dir[0] = s["start_dir"]
-        forward = d == np.repeat(start_dir, np.diff(np.append(begins, len(pdf))))
-        size, header, win = (pdf[c].to_numpy().astype(np.int64) for c in ("payload_len", "header_len", "win"))
+        forward = d == np.repeat(start_dir, ends - begins)
+        size, header, win = (v.astype(np.int64) for v in (size, header, win))
         sums = [np.add.reduceat(v.astype(np.int64), begins)
                 for v in (forward, ~forward, np.where(forward, size, 0), np.where(forward, 0, size), fin)]
+        rst = ((flags[ends - 1] & RST) > 0) & self.cfg.use_rst
+        # Flows that begin and end among these packets never become state: all of them are taken at once.
+        whole = rst | (sums[4] >= cuts.CLOSED)
+        whole[:-1] = True
+        whole[0] &= first == 0
         done = []
-        for i, (low, high) in enumerate(zip(begins, np.append(begins[1:], len(pdf)))):
+        if s["is_open"] and first == 0:
+            done.append(self._close(s, "timeout"))
+        for i in np.flatnonzero(~whole).tolist():  # the flow open before, the one open after
+            low, high = begins[i], ends[i]
             if i > 0 or first == 0:
-                if s["is_open"]:
-                    done.append(self._close(s, "timeout"))
                 s.update(is_open=1, flow_start=int(pkt[low]), start_dir=int(d[low]), first_us=int(ts[low]), fins=0, **_FRESH)
             run = slice(low, high)
             if self.stats:
@@ -205,10 +275,12 @@ class FlowProcessor(StatefulProcessor):
             for name, total in zip([*_TOTALS, "fins"], sums):
                 s[name] += int(total[i])
             s["last_us"] = int(ts[high - 1])
-            if self.cfg.use_rst and flags[high - 1] & RST:
+            if rst[i]:
                 done.append(self._close(s, "rst"))
             elif s["fins"] >= cuts.CLOSED:
                 done.append(self._close(s, "fin"))
+            elif high < len(ts):
+                done.append(self._close(s, "timeout"))
         s.update(prev_ts=int(ts[-1]), prev_flags=int(flags[-1]))
         self._timer(key, s)
         if s["is_open"]:
@@ -217,6 +289,16 @@ class FlowProcessor(StatefulProcessor):
         else:
             self.state.clear()  # nothing of a flow that has ended bears on the next
         yield from self._emit(key, done)
+        if whole.any():
+            low, high = begins[whole], ends[whole]
+            reason = np.where(rst[whole], "rst", np.where(sums[4][whole] >= cuts.CLOSED, "fin", "timeout")).astype(object)
+            out = {"flow_start": pkt[low], "first_us": ts[low], "last_us": ts[high - 1], "start_dir": d[low], "end_reason": reason,
+                   **{name: total[whole] for name, total in zip(_TOTALS, sums)}}
+            if self.stats:
+                mine, run = np.repeat(whole, ends - begins), np.repeat(np.arange(len(low)), high - low)
+                out |= _whole_flows(run, *(v[mine] for v in (ts, forward, size, header, flags, win)), self.cfg.burst_us)
+            keys = {name: np.full(len(low), value, object) for name, value in zip(KEY, key)}
+            yield pd.DataFrame({c: keys[c] if c in keys else out[c] for c in self.columns}, copy=False)
 
     def _close(self, s: dict, reason: str) -> dict:
         s["is_open"] = 0

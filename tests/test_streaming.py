@@ -101,3 +101,37 @@ def test_squares_are_exact():
 
     for values in ([3, 4], [1_200_000_000] * 5000, [(1 << 40) - 1] * 9, [1 << 50, 7], [-5, -(1 << 33)]):
         assert fs._squares(np.array(values, np.int64)) == sum(v * v for v in values)
+
+
+def test_flows_within_one_batch_are_taken_at_once(monkeypatch):
+    """400 flows of one connection in one batch: running totals are kept for the one that stays open, not for each."""
+    import numpy as np
+    import pandas as pd
+
+    class Handle:
+        value, getValueState, registerTimer = None, lambda self, *_: self, lambda self, _: None
+        exists, get, update = lambda self: self.value is not None, lambda self: self.value, lambda self, v: setattr(self, "value", v)
+        clear, getCurrentWatermarkInMs = lambda self: setattr(self, "value", None), lambda self: 0
+
+    n = 1601
+    i = np.arange(n)
+    packets = pd.DataFrame({"pkt_no": i, "ts_us": i * 3_000_000, "flags": np.where(i % 4 == 3, fl.RST, 16), "dir": i % 2,
+                            "payload_len": i % 7, "header_len": 20, "win": 100}).sample(frac=1, random_state=1)
+    taken, took = [], fs._take
+    monkeypatch.setattr(fs, "_take", lambda s, known, ts, *rest: (taken.append(len(ts)), took(s, known, ts, *rest)))
+    processor, handle = fs.FlowProcessor(CFG, True), Handle()
+    processor.init(handle)
+    out = pd.concat(processor.handleInputRows(("c", "a", 1, "b", 2, 6), iter([packets[:700], packets[700:]]), handle))
+    assert taken == [1] and handle.value is not None and len(out) == 400 and set(out["end_reason"]) == {"rst"}
+    assert (out["flow_start"] == 4 * np.arange(400)).all() and (out["fwd_pkts"] == 2).all() and (out["iat_mean"] == 3e6).all()
+    assert (out["fwd_iat_total"] == 6e6).all() and (out["idle_min"] == 3e6).all() and out["active_mean"].isna().all()
+    sizes = [[(4 * k + j) % 7 for j in range(4)] for k in range(400)]
+    assert out["len_max"].tolist() == [max(v) for v in sizes] and np.allclose(out["len_var"], [np.var(v) for v in sizes])
+
+
+def test_squares_of_runs_are_exact():
+    import numpy as np
+
+    for values in ([3, 4, 5], [1_200_000_000] * 5000, [(1 << 40) - 1] * 9, [1 << 50, 7, 1 << 51], [-5, -(1 << 33), 2]):
+        whole = [sum(v * v for v in part) for part in (values[:2], values[2:])]
+        assert fs._run_squares(np.array(values, np.int64), np.array([0, 2])) == whole
