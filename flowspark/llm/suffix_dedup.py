@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.llm.supermers import PLACE, held, joined, placed, super_mers
-from flowspark.llm.words import SLICE, TABLE, texts
+from flowspark.llm.supermers import PLACE, joined, placed, super_mers
+from flowspark.llm.words import SLICE, TABLE, range_hashes, slices, texts
 from flowspark.session import materialize
 
 WINDOW = 200
@@ -30,6 +30,10 @@ GRAM = 24
 SHARD = 2_000_000
 #: Different stretches of a minimiser in one shard; more are dealt over several.
 HOT = 4_000
+#: Bits of the numbers in which group, rank and place are sorted at once; with more, two keys are sorted.
+BITS = 64
+#: Windows looked up at once in another shard's suffix array.
+ASKED = 1 << 13
 
 
 def byte_symbols(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -39,38 +43,62 @@ def byte_symbols(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
 def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(suffix array, rank of each suffix) of a byte array.
 
-    Larsson-Sadakane: after a first sort by 7 bytes, suffixes of a group that is not yet told apart are sorted by the
-    rank of the suffix h further on, h doubling, until none is left. Shorter suffixes sort first.
+    Larsson-Sadakane: after a first sort by the symbols that fit one number, suffixes of a group that is not yet told apart
+    are sorted by the rank of the suffix h further on, h doubling, until none is left. Shorter suffixes sort first.
+    Sorted are plain numbers that end in the place they come from, which is much quicker than an indirect sort.
     """
     n = len(data)
-    wide = np.concatenate([data, np.zeros(8, np.uint8)])
-    key, h = np.zeros(n, np.uint64), 7
-    for i in range(h):
-        key = (key << np.uint64(8)) | wide[i:i + n]
-    # the number of bytes left tells a suffix at the end from one that goes on with zero bytes
-    key = (key << np.uint64(8)) | np.minimum(np.arange(n, 0, -1), h).astype(np.uint64)
-    order = np.argsort(key, kind="stable")
-    fresh = np.r_[True, key[order][1:] != key[order][:-1]] if n else np.empty(0, bool)
-    head = np.maximum.accumulate(np.where(fresh, np.arange(n), 0)) if n else np.empty(0, np.int64)
-    rank = np.empty(n, np.int64)
-    rank[order] = head
-    single = np.r_[fresh[1:], True] & fresh if n else fresh
-    open_ = np.flatnonzero(~single)  # places in order whose group has more than one suffix
+    if not n:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    used = np.bincount(data, minlength=256) > 0
+    code = np.where(used, np.cumsum(used), 0).astype(np.uint64)  # 0: the suffix has ended
+    wide, low = int(code.max()).bit_length(), (n - 1).bit_length()
+    h, have = (64 - low) // wide, 1
+    key = np.concatenate([code[data], np.zeros(h, np.uint64)])
+    while have < h:
+        step = min(have, h - have)
+        key[:-step] = (key[:-step] << np.uint64(step * wide)) | key[step:]
+        have += step
+    order, fresh = _sorted(key[:n], low)
+    head = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
+    rank = np.zeros(n + 1, np.int64)  # from 1; 0 past the end
+    rank[order] = head + 1
+    alone = fresh & np.r_[fresh[1:], True]
+    open_ = np.flatnonzero(~alone)  # places in order whose group has more than one suffix
+    at, fresh = order[open_], fresh[open_]
     while len(open_):
-        at = order[open_]
-        next_ = at + h
-        second = np.where(next_ < n, rank[np.minimum(next_, n - 1)] + 1, 0)
-        group = rank[at]
-        turn = np.lexsort((second, group))
-        at, group, second = at[turn], group[turn], second[turn]
+        second = rank[np.minimum(at + h, n)].view(np.uint64)
+        group = np.cumsum(fresh)
+        group -= 1
+        low = (len(at) - 1).bit_length()
+        if int(group[-1]).bit_length() + n.bit_length() + low <= BITS:
+            group = group.view(np.uint64)
+            group <<= np.uint64(n.bit_length())
+            turn, fresh = _sorted(np.bitwise_or(group, second, out=group), low)
+        else:
+            turn = np.lexsort((second, group))
+            second = second[turn]  # the groups stay where they are
+            fresh[1:] |= second[1:] != second[:-1]
+        at = at[turn]
         order[open_] = at
-        new = np.r_[True, (group[1:] != group[:-1]) | (second[1:] != second[:-1])]
-        first = open_[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
-        rank[at] = first
-        alone = new & np.r_[new[1:], True]
-        open_ = open_[~alone]
+        rank[at] = open_[np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))] + 1
+        more = np.flatnonzero(~(fresh & np.r_[fresh[1:], True]))
+        open_, at, fresh = open_[more], at[more], fresh[more]
         h *= 2
-    return order, rank
+    return order, rank[:n] - 1
+
+
+def _sorted(key: np.ndarray, low: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the keys in ascending order, which of them differ from the one before).
+
+    Keys leave `low` bits for the place, and are overwritten.
+    """
+    key <<= np.uint64(low)
+    key |= np.arange(len(key), dtype=np.uint64)
+    key.sort()
+    place = (key & np.uint64((1 << low) - 1)).view(np.int64)
+    key >>= np.uint64(low)
+    return place, np.r_[True, key[1:] != key[:-1]]
 
 
 def common_prefixes(data: np.ndarray, order: np.ndarray, rank: np.ndarray, most: int) -> np.ndarray:
@@ -81,17 +109,17 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, rank: np.ndarray, most:
     from their bound; each round extends all unsettled pairs by 8 bytes.
     """
     n = len(data)
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
+    before = np.empty(n, np.int64)  # by text position: the neighbour before; n for the first suffix
+    before[order[1:]] = order[:-1]
+    before[order[:1]] = n
     length = np.zeros(n, np.int64)  # by text position
     wide = np.concatenate([data, np.zeros(16, np.uint8)])
     eight = np.ndarray((n + 8,), np.dtype("<u8"), wide.tobytes(), 0, (1,))
 
     def extend(at: np.ndarray, have: np.ndarray) -> np.ndarray:
         """Common prefix of suffixes at with their neighbours before, from what is known."""
-        other = order[np.maximum(place[at] - 1, 0)]
-        limit = np.minimum(np.minimum(n - at, n - other), most)
-        limit[place[at] == 0] = 0
+        other = before[at]
+        limit = np.minimum(n - np.maximum(at, other), most)
         have = np.minimum(have, limit)
         live = np.flatnonzero(have < limit)
         while len(live):
@@ -144,20 +172,20 @@ def found_in(data: np.ndarray, order: np.ndarray, queries: np.ndarray, window: i
 
     def words(rows: np.ndarray) -> np.ndarray:
         rows = np.pad(rows, ((0, 0), (0, pad)))
-        return rows.reshape(len(rows), -1, 8).view(">u8")[:, :, 0]
+        return rows.reshape(len(rows), -1, 8).view("<u8")[:, :, 0]
 
-    q = words(queries)
+    q, at_place = words(queries), np.lib.stride_tricks.sliding_window_view(wide, window)
     low, high = np.zeros(len(q), np.int64), np.full(len(q), len(order))
     found = np.zeros(len(q), bool)
     while (low < high).any():
         live = np.flatnonzero(low < high)
         mid = (low[live] + high[live]) // 2
         at = order[np.minimum(mid, len(order) - 1)]
-        rows = words(wide[at[:, None] + np.arange(window)])
+        rows = words(at_place[at])
         differ = rows != q[live]
         first = differ.argmax(1)
         apart = differ[np.arange(len(live)), first]
-        less = apart & (rows[np.arange(len(live)), first] < q[live][np.arange(len(live)), first])
+        less = apart & (rows[np.arange(len(live)), first].byteswap() < q[live, first].byteswap())
         equal = ~apart & (at + window <= len(data))
         less |= ~apart & ~equal  # a suffix that ends early stands before the window it begins
         found[live[equal]] = True
@@ -177,16 +205,17 @@ def _shard(window: int):
             for r in np.flatnonzero(copies > 1):
                 twice[begin[r]:begin[r + 1] - window + 1] = True
         else:
-            begin, twice = np.cumsum([0, *map(len, strings)]), np.zeros(sum(map(len, strings)), bool)
-            sides = [np.flatnonzero(block == a[0]), np.flatnonzero(block == b[0])]
-            for here, there in (sides, sides[::-1]):
-                data = np.frombuffer(b"".join(strings[r] for r in there), np.uint8)
+            size = np.array([*map(len, strings)])
+            begin, whole = np.r_[0, np.cumsum(size)], np.frombuffer(b"".join(strings), np.uint8)
+            twice, windows = np.zeros(len(whole), bool), np.lib.stride_tricks.sliding_window_view(whole, window)
+            of, inside = np.repeat(block, size), np.arange(len(whole)) + window <= np.repeat(begin[1:], size)
+            for here, there in ((a[0], b[0]), (b[0], a[0])):
+                data = whole[of == there]
                 order, _ = suffix_array(data)
-                inner = np.cumsum([0, *(len(strings[r]) for r in there)])
-                order = order[order + window <= np.repeat(inner[1:], np.diff(inner))[order]]
-                for r in here:
-                    own = np.lib.stride_tricks.sliding_window_view(np.frombuffer(strings[r], np.uint8), window)
-                    twice[begin[r]:begin[r] + len(own)] |= found_in(data, order, own, window)
+                order = order[inside[of == there][order]]
+                at = np.flatnonzero(inside & (of == here))
+                for i in range(0, len(at), ASKED):
+                    twice[at[i:i + ASKED]] = found_in(data, order, windows[at[i:i + ASKED]], window)
         return _ranges(table, begin, twice)
 
     return run
@@ -202,20 +231,31 @@ def _ranges(table: pa.Table, begin: np.ndarray, twice: np.ndarray) -> pa.Table:
                      "low": head - begin[owner], "size": tail - head})
 
 
+def _strings(batches, window: int, size: int = SLICE):
+    """The parts (m, s, copies, shards) that the texts hold at the places stated, with their bytes; a batch per slice of texts."""
+    for batch in batches:
+        parts = batch.column("parts")
+        many = parts.value_lengths().to_numpy()
+        cut = np.r_[0, np.cumsum(many)]
+        column = dict(zip((f.name for f in parts.type.value_type), parts.flatten().flatten(), strict=True))
+        start, windows, s = (column[c].to_numpy() for c in ("start", "windows", "s"))
+        for i, j, data, ends in slices(batch.column("text"), size):
+            mine = slice(cut[i], cut[j])
+            row = np.repeat(np.arange(j - i), many[i:j])
+            first = ends[row] + start[mine]
+            last = first + windows[mine] + window - 1
+            inside = np.flatnonzero(last <= ends[row + 1])
+            first, last = first[inside], last[inside]
+            here = range_hashes(TABLE[data], first, last).view(np.int64) == s[mine][inside]
+            taken, raw = pa.array(inside[here] + cut[i]), data.tobytes()
+            packed = [raw[a:b] for a, b in zip(first[here].tolist(), last[here].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(column[c].take(taken) for c in ("m", "s", "copies", "shards")), pa.array(packed, pa.binary())],
+                                             names=["m", "s", "copies", "shards", "packed"])
+
+
 def _packed(source: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    def rows(batches):
-        for batch in batches:
-            parts = batch.column("parts").to_pylist()
-            data, ends = texts(batch.column("text"))
-            for r in range(len(parts)):
-                text = data[ends[r]:ends[r + 1]].tobytes()
-                out = [(p["m"], p["s"], p["copies"], p["shards"], text[p["start"]:p["start"] + p["windows"] + window - 1])
-                       for p in held(TABLE[data[ends[r]:ends[r + 1]]], parts[r], window)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, [*[pa.int64()] * 4, pa.binary()], strict=True)],
-                    names=["m", "s", "copies", "shards", "packed"])
-
-    return joined(source, wanted).mapInArrow(rows, "m long, s long, copies long, shards long, packed binary")
+    return joined(source, wanted).mapInArrow(lambda batches: _strings(batches, window),
+                                             "m long, s long, copies long, shards long, packed binary")
 
 
 def removed_spans(source: DataFrame, window: int = WINDOW, gram: int = GRAM, size: int = SLICE) -> DataFrame:

@@ -2,10 +2,12 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from flowspark.llm import suffix_dedup as op
+from flowspark.llm.words import TABLE, range_hashes
 
 
 def brute(rows, window):
@@ -93,3 +95,75 @@ def test_structured_bytes_do_not_collide(make_docs):
     rows = [(i, order(n, a, b) + "." * i) for i, (n, a, b) in enumerate([(1024, "a", "b"), (1024, "b", "a"), (4096, "c", "d"), (4096, "d", "c"), (300, "e", "f")])]
     got = op.deduplicated(make_docs(*rows), window=200, gram=16).collect()
     assert sorted((r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), bytes(r.kept)) for r in got) == sorted(brute(rows, 200))
+
+
+def test_shard_sorts_plain_numbers(monkeypatch):
+    """Indirect sorts took most of a shard's CPU time; a shard of ordinary size needs none."""
+    def refused(*_, **__):
+        raise AssertionError("indirect sort")
+
+    rng = random.Random(5)
+    base = bytes(rng.choice(b"abcdefgh ") for _ in range(3000))
+    strings = [base[i:i + 400] for i in range(0, 2600, 130)] + [b"ab" * 300, bytes(range(256)) * 2]
+    seen = Counter(s[i:i + 200] for s in strings for i in range(len(s) - 199))
+    with monkeypatch.context() as m:
+        m.setattr(np, "argsort", refused)
+        m.setattr(np, "lexsort", refused)
+        twice = op.repeated_windows(strings, 200)[3]
+    assert twice.tolist() == [i + 200 <= len(s) and seen[s[i:i + 200]] > 1 for s in strings for i in range(len(s))]
+
+
+def test_suffix_array_too_wide_for_one_number(monkeypatch):
+    monkeypatch.setattr(op, "BITS", 0)
+    rng = random.Random(6)
+    for letters in (b"a", b"ab", b"ab\0c", bytes(range(256))):
+        raw = bytes(rng.choice(letters) for _ in range(300)) * 2
+        order, rank = op.suffix_array(np.frombuffer(raw, np.uint8))
+        assert order.tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
+        assert rank[order].tolist() == list(range(len(raw)))
+
+
+def test_strings_of_a_slice_in_one_batch():
+    """Texts go by slices, not one by one; parts that a text doesn't hold (another text of that place does) are left out."""
+    rng = random.Random(7)
+    window, rows, want = 20, [], []
+    for r in range(60):
+        text = "".join(rng.choice("abé ") for _ in range(rng.randrange(100)))
+        raw, parts = text.encode(), []
+        for m in range(rng.randrange(4)):
+            start, windows = rng.randrange(60), rng.randrange(1, 30)
+            end = start + windows + window - 1
+            s = int(range_hashes(TABLE[np.frombuffer(raw, np.uint8)], np.array([start]), np.array([end])).view(np.int64)[0]) if end <= len(raw) else 0
+            wrong = rng.random() < 0.2
+            parts.append({"m": m, "s": s + wrong, "start": start, "windows": windows, "copies": r, "shards": 1})
+            if r >= 5 and not wrong and end <= len(raw):
+                want.append((m, s, r, 1, raw[start:end]))
+        rows.append({"parts": parts, "text": text})
+    part = pa.struct([("m", pa.int64()), ("s", pa.int64()), ("start", pa.int64()), ("windows", pa.int32()), ("copies", pa.int64()), ("shards", pa.int64())])
+    batch = pa.RecordBatch.from_pylist(rows, pa.schema([("parts", pa.list_(part)), ("text", pa.string())])).slice(5)
+    got = list(op._strings([batch], window))
+    assert len(got) == 1 and want
+    assert [tuple(x.values()) for x in got[0].to_pylist()] == want
+    assert [tuple(x.values()) for b in op._strings([batch], window, size=64) for x in b.to_pylist()] == want
+
+
+def test_pair_of_shards_is_searched_in_blocks(monkeypatch):
+    """Windows of many strings are looked up together, whatever string they stand in."""
+    rng = random.Random(8)
+    base = "".join(rng.choice("abc") for _ in range(90))
+    strings = [(base[i:i + rng.randrange(24, 60)] + rng.choice(["", "x", "yy"])).encode() for i in range(0, 66, 3)]
+    block = np.array([rng.randrange(2) for _ in strings])
+    n, calls, found_in = len(strings), [], op.found_in
+    monkeypatch.setattr(op, "found_in", lambda *a: calls.append(len(a[2])) or found_in(*a))
+    table = pa.table({"m": np.zeros(n, np.int64), "s": np.arange(n), "copies": np.ones(n, np.int64), "packed": strings,
+                      "block": block, "a": np.zeros(n, np.int64), "b": np.ones(n, np.int64)})
+    sides = [{s[i:i + 20] for s, b in zip(strings, block, strict=True) if b == side for i in range(len(s) - 19)} for side in (0, 1)]
+    want = {(r, i) for r, s in enumerate(strings) for i in range(len(s) - 19) if s[i:i + 20] in sides[1 - block[r]]}
+
+    def got():
+        return {(x["s"], x["low"] + i) for x in op._shard(20)(table).to_pylist() for i in range(x["size"])}
+
+    assert got() == want and want and len(calls) == 2
+    calls.clear()
+    monkeypatch.setattr(op, "ASKED", 7, raising=False)
+    assert got() == want and max(calls) == 7
